@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import language_id, length_histogram, packing
 from .base import table
 from .exact_dedup import DigestIndex, exact_dedup
 
@@ -31,3 +33,20 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        doc_id = first_value(doc_id) OVER w AS kept, s AS text_sha256
 FROM d WINDOW w AS (PARTITION BY s ORDER BY length(t) DESC, doc_id)
 """
+
+
+@query
+def op7_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(language_id.crc_of(), F.lit(4)) == 2, F.lit(False)).alias("held_out")
+    return language_id.identify(docs, language_id.trained_on(docs), "doc_id", held_out)
+
+
+@query
+def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram.with_suffix_sums(length_histogram.histogram(table(spark, sf_dir, "documents")))
