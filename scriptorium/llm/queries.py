@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, length_histogram, packing
+from . import language_id, length_histogram, minhash, packing
 from .base import table
 from .exact_dedup import DigestIndex, exact_dedup
 
@@ -35,6 +35,35 @@ FROM d WINDOW w AS (PARTITION BY s ORDER BY length(t) DESC, doc_id)
 """
 
 
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_dedup_documents(table(spark, sf_dir, "documents"), size=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLE_SQL["op6_minhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+                      WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh
+  FROM w),
+sets AS (SELECT min(doc_id) AS rep, list_sort(sh) AS sh FROM s WHERE len(sh) > 0 GROUP BY list_sort(sh)),
+e AS (SELECT rep, len(sh) AS n, unnest(sh) AS h FROM sets),
+p AS (SELECT a.rep AS x, b.rep AS y, count(*) AS common, any_value(a.n + b.n) AS total
+      FROM e a JOIN e b ON a.h = b.h AND a.rep < b.rep GROUP BY 1, 2),
+l AS (SELECT x, y FROM p WHERE 100 * common >= 80 * (total - common)),
+g AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT rep AS node, rep AS reached FROM sets UNION SELECT r.node, g.b FROM r JOIN g ON r.reached = g.a),
+c AS (SELECT node AS rep, min(reached) AS component FROM r GROUP BY 1)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(c.component, s.doc_id) AS component_id,
+       s.doc_id = coalesce(c.component, s.doc_id) AS kept
+FROM s LEFT JOIN sets ON len(s.sh) > 0 AND list_sort(s.sh) = sets.sh LEFT JOIN c ON c.rep = sets.rep
+"""
+
+
 @query
 def op7_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
