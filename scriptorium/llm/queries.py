@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, length_histogram, minhash, packing
-from .base import table
+from . import language_id, length_histogram, minhash, mixing, packing
+from .base import staged, table
 from .exact_dedup import DigestIndex, exact_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,51 @@ def query(f: Query) -> Query:
     return f
 
 
+#: The mixture that op2 and the pipeline rake to.
+SOURCES = {"src0": 0.12} | {f"src{k}": 0.046 for k in range(1, 20)}
+LANGUAGES = {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14}
+TOPIC_SHARES = {k: 1 / mixing.TOPICS for k in range(mixing.TOPICS)}
+KEEP = 0.6
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = mixing.measured(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")).drop("text")
+    found = mixing.mixed(staged(docs, "measured"), (SOURCES, LANGUAGES, TOPIC_SHARES), KEEP)
+    return found.select("doc_id", F.col("_tokens").alias("tokens"), F.col("_topic").alias("topic"), F.round("_probability", 6).alias("probability"), F.col("_sampled").alias("sampled"))
+
+
+ORACLE_SQL["op2_mixing"] = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, source, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS ws FROM documents),
+m AS (
+  SELECT doc_id, CASE WHEN regexp_matches(source, '^src(\d|1\d)$') THEN source ELSE '~' END AS s,
+         CASE WHEN lang IN ('en', 'fr', 'de', 'es') THEN lang ELSE '~' END AS l, CAST(len(ws) AS BIGINT) AS tokens,
+         list_transform(range(0, 8), lambda k: len(list_filter(ws, lambda w: length(w) >= 5 AND (unicode(w) + unicode(right(w, 1))) % 8 = k))) AS c
+  FROM words),
+t AS (SELECT doc_id, s, l, tokens, CAST(list_position(c, list_max(c)) - 1 AS INTEGER) AS t FROM m),
+cells AS (SELECT s, l, t, CAST(sum(tokens) AS DOUBLE) AS tok FROM t GROUP BY ALL),
+goal_s AS (SELECT s, g / sum(g) OVER () AS g FROM (SELECT DISTINCT s, CASE s WHEN '~' THEN 1 - 0.12 - 19 * 0.046 WHEN 'src0' THEN 0.12 ELSE 0.046 END::DOUBLE AS g FROM cells WHERE tok > 0)),
+goal_l AS (SELECT l, g / sum(g) OVER () AS g FROM (SELECT DISTINCT l, CASE l WHEN '~' THEN 0 WHEN 'en' THEN 0.5 WHEN 'fr' THEN 0.18 WHEN 'de' THEN 0.18 ELSE 0.14 END::DOUBLE AS g FROM cells WHERE tok > 0)),
+goal_t AS (SELECT t, 1.0::DOUBLE / count(*) OVER () AS g FROM (SELECT DISTINCT t FROM cells WHERE tok > 0)),
+fit AS (
+  SELECT 0 AS i, s, l, t, tok, tok / sum(tok) OVER () AS w FROM cells
+  UNION ALL
+  SELECT i + 1, s, l, t, tok, w * (SELECT g FROM goal_t WHERE goal_t.t = c.t) / sum(w) OVER (PARTITION BY t) FROM (
+    SELECT i, s, l, t, tok, w * (SELECT g FROM goal_l WHERE goal_l.l = b.l) / sum(w) OVER (PARTITION BY l) AS w FROM (
+      SELECT i, s, l, t, tok, w * (SELECT g FROM goal_s WHERE goal_s.s = a.s) / sum(w) OVER (PARTITION BY s) AS w
+      FROM fit a WHERE i < {mixing.SWEEPS}) b) c),
+r AS (SELECT s, l, t, tok, w, w / tok AS ratio FROM fit WHERE i = {mixing.SWEEPS} AND tok > 0),
+z AS (SELECT *, ({KEEP} * sum(tok) OVER () - (sum(tok) OVER o - tok)) / (sum(w) OVER () - (sum(w) OVER o - w)) AS scale FROM r
+      WINDOW o AS (ORDER BY ratio DESC, s, l, t ROWS UNBOUNDED PRECEDING)),
+c1 AS (SELECT arg_max(scale, ratio) AS scale FROM z WHERE scale * ratio <= 1),
+p AS (SELECT s, l, t, least(1, greatest(0, c1.scale * ratio)) AS p FROM r, c1)
+SELECT doc_id, tokens, t AS topic, round(coalesce(p, 0), 6) AS probability,
+       ('0x' || substr(md5(doc_id || ':mix'), 1, 13))::BIGINT / (1::BIGINT << 52)::DOUBLE < coalesce(p, 0) AS sampled
+FROM t LEFT JOIN p USING (s, l, t)
+"""
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), DigestIndex(spark)).drop("_row")
