@@ -139,11 +139,11 @@ class Scorer:
 _held: dict[str, Scorer] = {}
 
 
-def identify(docs: DataFrame, model: dict, *columns: Column | str) -> DataFrame:
-    """The columns of each document with lang_pred and score."""
-    columns = columns or ("doc_id",)
+def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns of each document, or all of them, with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages * (words + grams_kept) items at most
-    wanted = docs.select(*columns, F.col("text").alias("_text"))
+    wanted = docs.select(*columns, F.col("text").alias("_text")) if columns else docs
+    at, kept = (len(columns), len(columns)) if columns else (docs.columns.index("text"), len(docs.columns))
     key = uuid.uuid4().hex
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,16 +152,16 @@ def identify(docs: DataFrame, model: dict, *columns: Column | str) -> DataFrame:
             _held[key] = Scorer(shared.value)
         scorer = _held[key]
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             langs: list[str] = []
             scores: list[float] = []
             for s in blocks([len(t) for t in texts], 1_000_000):
                 a, b = scorer.predict(texts[s])
                 langs += a
                 scores += b
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:kept], *names])
 
-    schema = StructType(wanted.schema.fields[:-1]).add("lang_pred", StringType()).add("score", DoubleType())
+    schema = StructType(wanted.schema.fields[:kept]).add(names[0], StringType()).add(names[1], DoubleType())
     return wanted.mapInArrow(predict, schema)
 
 
