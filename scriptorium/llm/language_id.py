@@ -22,6 +22,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
@@ -139,6 +140,14 @@ class Scorer:
 _held: dict[str, Scorer] = {}
 
 
+def scorer_of(key: str, model: Broadcast) -> Scorer:
+    """One for each Python worker, which keeps it from task to task."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = Scorer(model.value)
+    return _held[key]
+
+
 def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The columns of each document, or all of them, with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages * (words + grams_kept) items at most
@@ -147,10 +156,7 @@ def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[
     key = uuid.uuid4().hex
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _held:
-            _held.clear()
-            _held[key] = Scorer(shared.value)
-        scorer = _held[key]
+        scorer = scorer_of(key, shared)
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             langs: list[str] = []
