@@ -34,7 +34,7 @@ def histogram(docs: DataFrame, path: str | None = None) -> DataFrame:
         found: Counter[int] = Counter()
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
-            for s in blocks([len(t) for t in texts], 2_000_000):
+            for s in blocks([len(t) for t in texts], 4_000_000):
                 found.update(tokenizer(path).lengths(texts[s]).tolist())
         yield pa.RecordBatch.from_pydict({"length": pa.array(list(found), pa.int64()), "n_docs": pa.array(list(found.values()), pa.int64())})
 

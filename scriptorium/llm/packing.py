@@ -48,7 +48,7 @@ def encoded(docs: DataFrame, path: str, vocabulary: int, closing: int) -> DataFr
         words, place, frequency = tokenizer(path), np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
         for batch in batches:
             rows, names, texts = batch.column(0), batch.column(1), [t or "" for t in batch.column(2).to_pylist()]
-            for s in blocks([len(t) for t in texts], 2_000_000):
+            for s in blocks([len(t) for t in texts], 4_000_000):
                 flat, counts = words.encode(texts[s])
                 out = []
                 for part in np.split(flat, np.cumsum(counts)[:-1]):

@@ -10,17 +10,18 @@ Python and the tokenizer differ are encoded whole.
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Separators of str.split() that the tokenizer takes for signs, capitals whose
-#: small letter hangs on the context, and the opening of special tokens.
-ODD = re.compile("[\x1c-\x1f\u180e\u0130\u03a3]|<\\|")
+#: Separators of words that the tokenizer takes for signs, capitals whose small
+#: letter hangs on the context, and the opening of special tokens.
+ODD = "\x1c", "\x1d", "\x1e", "\x1f", "<|"
+ODD_BEYOND_ASCII = "\u180e", "\u0130", "\u03a3"
 MARKS = ".,;:!?*%$&#|"
 
 
@@ -30,6 +31,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def odd(text: str) -> bool:
+    return any(c in text for c in ODD) or not text.isascii() and any(c in text for c in ODD_BEYOND_ASCII)
+
+
 class Merges:
     """Byte-pair merges of many words at once, on flat arrays: each round merges in
     every word its leftmost pair of lowest rank, and words without one are done."""
@@ -117,10 +122,8 @@ class Merges:
 
 
 class WordTokenizer:
-    """Ids by small-letter words; at most max_words are remembered, then it starts
-    anew.  The most frequent are held apart, in a table that fits a CPU's cache."""
+    """Ids by small-letter words; at most max_words are remembered, then it starts anew."""
 
-    FREQUENT = 16_000
     LONGEST = 80
 
     def __init__(self, path: str, max_words: int = 800_000):
@@ -137,7 +140,6 @@ class WordTokenizer:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.frequent: dict[str, int] = {}
         self.cores: dict[str, bytes] = {}
         self.starts = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint16)
@@ -159,7 +161,7 @@ class WordTokenizer:
     def _learn(self, words: list[str]) -> None:
         parts: list[tuple[str, str]] = []
         for w in words:
-            core = w.rstrip(MARKS)
+            core = w if w.isalpha() else w.rstrip(MARKS)
             parts.append((core, w[len(core) :]) if core.isalpha() else (w, ""))
         cores = self.cores
         new = list(dict.fromkeys(x for p in parts for x in p if x not in cores))
@@ -172,41 +174,35 @@ class WordTokenizer:
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), np.uint16)])
 
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the texts' words, and how many each text has."""
-        split = [t.lower().split() for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = list(chain.from_iterable(split))
-        at = np.fromiter(map(self.frequent.get, words, repeat(-1)), np.int64, len(words))
-        rest = np.flatnonzero(at < 0)
-        if len(rest):
-            others = list(map(words.__getitem__, rest.tolist()))
-            found = np.fromiter(map(self.index.get, others, repeat(-1)), np.int64, len(others))
-            if (found < 0).any():
-                new = list(dict.fromkeys(map(others.__getitem__, np.flatnonzero(found < 0).tolist())))
-                if self.index and len(self.index) + len(new) > self.max_words:
-                    self.forget()
-                    return self.words(texts)
-                for k in range(0, len(new), 50_000):
-                    self._learn(new[k : k + 50_000])
-                missing = np.flatnonzero(found < 0)
-                found[missing] = np.fromiter((self.index[others[k]] for k in missing.tolist()), np.int64, len(missing))
-            at[rest] = found
-            if not self.frequent:
-                self.frequent = {w: self.index[w] for w, _ in Counter(words).most_common(self.FREQUENT)}
-        return at, counts
+        """Numbers of the texts' words, and how many each text has.  Arrow splits and
+        numbers the words, so that only different ones come to Python."""
+        split = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.string())))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        unseen = np.flatnonzero(at < 0)
+        if len(unseen):
+            if self.index and len(self.index) + len(unseen) > self.max_words:
+                self.forget()
+                unseen = np.arange(len(words))
+            at[unseen] = np.arange(len(self.index), len(self.index) + len(unseen))
+            new = list(map(words.__getitem__, unseen.tolist()))
+            for k in range(0, len(new), 50_000):
+                self._learn(new[k : k + 50_000])
+        return at[coded.indices.to_numpy()] if len(words) else at, np.diff(split.offsets.to_numpy()).astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
-        odd = {i: np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint16) for i, t in enumerate(texts) if ODD.search(t)}
-        at, counts = self.words(["" if i in odd else t for i, t in enumerate(texts)] if odd else texts)
+        apart = {i: np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint16) for i, t in enumerate(texts) if odd(t)}
+        at, counts = self.words(["" if i in apart else t for i, t in enumerate(texts)] if apart else texts)
         starts, sizes = self.starts[at], np.diff(self.starts)[at] if len(at) else np.zeros(0, np.int64)
         ends = np.cumsum(sizes)
         flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
         words = np.concatenate([[0], np.cumsum(counts)])
         bounds = np.concatenate([[0], ends])[words]
         lengths = np.diff(bounds)
-        if odd:
-            pieces = [odd.get(i, flat[bounds[i] : bounds[i + 1]]) for i in range(len(texts))]
+        if apart:
+            pieces = [apart.get(i, flat[bounds[i] : bounds[i + 1]]) for i in range(len(texts))]
             flat, lengths = np.concatenate(pieces), np.fromiter(map(len, pieces), np.int64, len(pieces))
         return flat, lengths
 
@@ -216,7 +212,7 @@ class WordTokenizer:
         sizes = np.concatenate([[0], np.cumsum(np.diff(self.starts)[at])]) if len(at) else np.zeros(1, np.int64)
         found = np.diff(sizes[np.concatenate([[0], np.cumsum(counts)])])
         for i, t in enumerate(texts):
-            if ODD.search(t):
+            if odd(t):
                 found[i] = len(self.whole.encode(t, add_special_tokens=False).ids)
         return found
 
