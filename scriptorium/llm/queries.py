@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, length_histogram, minhash, mixing, packing
+from . import language_id, length_histogram, line_crf, media, minhash, mixing, packing, sharding, suffix_dedup
 from .base import staged, table
 from .exact_dedup import DigestIndex, exact_dedup
 
@@ -21,6 +21,27 @@ def query(f: Query) -> Query:
     return f
 
 
+SHARD_BYTES = 1 << 20
+
+
+@query
+def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES).drop("_row")
+
+
+ORACLE_SQL["op1_extendible_shards"] = f"""
+WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
+                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h FROM documents),
+l AS (SELECT depth, h >> (60 - depth) AS prefix, CAST(sum(n_bytes) AS BIGINT) AS bytes, count(*) AS docs
+      FROM d, (SELECT unnest(range(0, 41))::INTEGER AS depth) GROUP BY 1, 2),
+f AS (SELECT l.* FROM l LEFT JOIN l AS up ON up.depth = l.depth - 1 AND up.prefix = l.prefix >> 1
+      WHERE l.bytes <= {SHARD_BYTES} AND (l.depth = 0 OR up.bytes > {SHARD_BYTES}))
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE right(bin(prefix + (1::BIGINT << 60)), depth) END AS shard, depth,
+       bytes AS shard_bytes, docs AS shard_docs, false AS oversize
+FROM d JOIN f ON d.h >> (60 - f.depth) = f.prefix
+"""
+
+
 #: The mixture that op2 and the pipeline rake to.
 SOURCES = {"src0": 0.12} | {f"src{k}": 0.046 for k in range(1, 20)}
 LANGUAGES = {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14}
@@ -80,6 +101,16 @@ FROM d WINDOW w AS (PARTITION BY s ORDER BY length(t) DESC, doc_id)
 """
 
 
+@query
+def op4_avi_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.read_back(media.stored(table(spark, sf_dir, "documents")))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_dedup_documents(table(spark, sf_dir, "documents"), size=4, percent=80)
@@ -114,6 +145,12 @@ def op7_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.scored(docs, line_crf.trained_on(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
