@@ -5,9 +5,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructType
 
 from ..functions import kernels
 
+MERGED = StructType().add("type", StringType()).add("confidence", DoubleType()).add("model", StringType()).add("words", ArrayType(StringType()))
+
 
 def word_offsets(rows: DataFrame, key: list[str], text: str) -> DataFrame:
     """key, pos from 0, word, start, stop (code points) of words between single blanks."""
@@ -90,18 +93,24 @@ def overlap_candidates(left: DataFrame, right: DataFrame, key: list[str]) -> Dat
     return joined.select(*key, "a", "b", common.alias("common"), F.round(common / F.size(F.array_union("words_a", "words_b")), 6).alias("jaccard")).filter("common > 0")
 
 
+@F.pandas_udf(ArrayType(MERGED))
+def _agreed(left: pd.Series, right: pd.Series) -> pd.Series:
+    def side(rows: object) -> list[dict]:
+        return [{"type": r["type"], "confidence": r["confidence"], "model": r["model"], "words": frozenset(r["words"])} for r in ([] if rows is None else rows)]
+
+    return pd.Series([[m | {"words": sorted(m["words"])} for m in kernels.agreed(side(a), side(b))] for a, b in zip(left, right, strict=True)])
+
+
 def merged_models(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
-    """key, ord, type, confidence, model, words: both models' mentions made one list.
-    Each side has ord, type, confidence, model, words."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema if f.name in key) + ", ord int, type string, confidence double, model string, words array<string>"
+    """key, ord, type, confidence, model, words: both models' mentions of a container
+    made one list.  Each side has ord, type, confidence, model, words.  A row a
+    container goes to the kernel, so many small ones share a batch."""
 
-    def merge(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        own = a if len(a) else b
-        sides = [[r | {"words": frozenset(r["words"])} for r in side.sort_values("ord").to_dict("records")] for side in (a, b)]
-        rows = [{k: own.iloc[0][k] for k in key} | {"ord": n, "type": r["type"], "confidence": r["confidence"], "model": r["model"], "words": sorted(r["words"])} for n, r in enumerate(kernels.agreed(*sides))]
-        return pd.DataFrame(rows)
+    def gathered(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ord", "type", "confidence", "model", "words"))).alias(name))
 
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(merge, schema)
+    both = gathered(left, "_a").join(gathered(right, "_b"), key, "full")
+    return both.select(*key, F.posexplode(_agreed("_a", "_b")).alias("ord", "_m")).select(*key, "ord", "_m.type", "_m.confidence", "_m.model", "_m.words")
 
 
 def dehyphenated(lines: DataFrame, key: list[str]) -> DataFrame:
@@ -112,7 +121,5 @@ def dehyphenated(lines: DataFrame, key: list[str]) -> DataFrame:
         texts, carried = kernels.rejoined(rows["text"].tolist(), rows["kind"].tolist())
         return rows.assign(joined=texts, carried=[i in carried for i in range(len(rows))])
 
-    from pyspark.sql.types import BooleanType, StringType, StructType
-
     schema = StructType(list(lines.schema.fields)).add("joined", StringType()).add("carried", BooleanType())
     return lines.groupBy(*key).applyInPandas(join, schema)
