@@ -74,6 +74,8 @@ def known(column: Column, targets: dict) -> Column:
 def rake(cells: list[tuple], targets: tuple[dict, ...], sweeps: int = SWEEPS) -> np.ndarray:
     """cells: (value for each dimension ..., tokens).  The raked share of each cell."""
     weights = np.array([c[-1] for c in cells], float)
+    if not weights.sum():
+        return weights
     weights /= max(weights.sum(), 1e-300)
     groups, goals = [], []
     for d, wanted in enumerate(targets):
@@ -81,7 +83,7 @@ def rake(cells: list[tuple], targets: tuple[dict, ...], sweeps: int = SWEEPS) ->
         values = sorted({c[d] for c in cells if c[-1]})
         goal = np.array([wanted.get(v, max(0.0, 1 - sum(wanted.values()))) for v in values])
         place = {v: k for k, v in enumerate(values)}
-        groups.append(np.array([place.get(c[d], 0) for c in cells]))
+        groups.append(np.array([place.get(c[d], 0) for c in cells], np.int64))
         goals.append(goal / max(goal.sum(), 1e-300))
     for _ in range(sweeps):
         for group, goal in zip(groups, goals, strict=True):
@@ -93,6 +95,8 @@ def rake(cells: list[tuple], targets: tuple[dict, ...], sweeps: int = SWEEPS) ->
 def probabilities(tokens: np.ndarray, raked: np.ndarray, keep: float) -> np.ndarray:
     """min(1, c * raked / share), with c such that a share keep of tokens is expected,
     or all that has weight if that is less."""
+    if not len(tokens):
+        return np.zeros(0)
     ratio = np.divide(raked, tokens, out=np.zeros_like(raked), where=tokens > 0)
     order = np.argsort(-ratio, kind="stable")
     full = np.cumsum(tokens[order]) - tokens[order]  # tokens of the cells before, kept whole
