@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from scriptorium import annotate, corpus
 from scriptorium.operators import catalogue, containers, entities, language, losses, notes, order, sentences, spans, validate
 from scriptorium.sources import alto, catalogues, sinks
 from scriptorium.streaming import ingest
@@ -143,3 +144,35 @@ def test_streaming_ingest(spark, tmp_path, data):
     q = ingest.windowed_counts(stream, "ts", "event_type").writeStream.outputMode("complete").format("memory").queryName("windows").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("windows").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_corpus(spark, tmp_path):
+    folder = tmp_path / "c" / "LIV1"
+    folder.mkdir(parents=True)
+    (folder / "f2.xml").write_text(PAGE.format(""))
+    (folder / "f3.xml").write_text("<alto><broken")
+    (tmp_path / "books.csv").write_text("BDD;Titre\nLIV1;Un livre\n")
+    c = corpus.Corpus(spark, str(tmp_path / "c"), str(tmp_path / "books.csv"))
+    assert rows(c.extent()) == [("LIV1", 2, 1)] and rows(c.losses()) == [("LIV1", 1, 2)] and rows(c.failing(40).select("doc")) == [("LIV1",)]
+    assert rows(c.zones().select("type", "subtype", "n", "lrx", "dup")) == [("MainZone", "column", "1", 4, 0)]
+    assert rows(c.matched().select("doc_key", "Titre")) == [("LIV1", "Un livre")]
+    assert "Le roy!" in c.tei().first()["xml"] and c.collisions().count() == 0
+    c.register()
+    assert spark.sql("SELECT count(*) FROM corpus_lines").first()[0] == 2
+
+
+def test_annotators_count_what_they_miss(spark):
+    class Failing:
+        def annotate(self, texts):
+            raise OSError("down")
+
+    texts = spark.createDataFrame([(k, "Le roy." if k else " ") for k in range(6)], "id int, text string").coalesce(1)
+    assert sorted(rows(annotate.annotated(texts, "text", Failing, batch=1, patience=2).groupBy("status").count())) == [("refused", 2), ("skipped", 1), ("unsent", 3)]
+    tagged = annotate.annotated(texts, "text", annotate.RuleTagger).filter("id = 1").first()
+    assert [t["pos"] for t in json.loads(tagged["annotation"])] == ["NOMpro", "NOMcom", "PONC"] and tagged["status"] == "ok"
+
+
+def test_runs(spark):
+    runs = spark.createDataFrame([("r1", corpus.manifest([], {}, {"a": "failed"}, 1)), ("r2", corpus.manifest([], {}, {"a": "ok", "b": "failed"}, 1))], "run string, value string")
+    assert rows(corpus.failed(runs)) == [("b",)]
+    assert corpus.kept_runs([f"r{k:02}" for k in range(13)], "r00") == ["r00"] + [f"r{k:02}" for k in range(3, 13)]
