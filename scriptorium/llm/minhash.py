@@ -5,8 +5,10 @@ minima make buckets; the low BITS of each minimum, packed into longs, estimate
 similarity by bit counts, corrected for chance collisions; pairs whose estimate
 is near the threshold or over it are confirmed on the full sets.  Documents with
 equal sets are one candidate.  A bucket emits no more than a star of pairs to
-its smallest member; components are built from the confirmed ones, and only
-buckets that then still hold several components compare members across them.
+its smallest member, and components are built from the confirmed ones.  Buckets
+that still hold several components draw other hubs for a few rounds; of what is
+then open, members outside their family's largest component are compared with
+all of it, in blocks.
 
 At the threshold 0.8 a pair misses all 40 bands of 6 rows with probability 5e-6;
 the margin of the estimate is over 5 standard deviations.
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import blank_as_empty, staged, with_rows
+from .base import blank_as_empty, release, staged, with_rows
 from .components import components
 from .tokens import blocks
 
@@ -155,54 +157,125 @@ def estimate(a: Column, b: Column) -> Column:
     return ((1 - off / MINIMA) - chance) / (1 - chance)
 
 
-class Links:
-    """Confirms pairs of rows by estimate, then on the full sets."""
+def sets_of(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """_row, shingles: the full sets of the rows, as sorted 64-bit hashes."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, size: int, percent: int):
-        self.docs, self.reps, self.size, self.percent = docs, reps, size, percent
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for s in blocks([len(t) for t in texts], 1_000_000):
+                own = [x.tobytes() for x in shingle_sets(texts[s], size)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(own)), pa.array(own, pa.binary())], ["_row", "shingles"])
 
-    def sets(self, rows: DataFrame) -> DataFrame:
-        size = self.size
+    return docs.join(rows, "_row", "left_semi").select("_row", "text").mapInArrow(read, "_row long, shingles binary")
 
-        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = batch.column(1).to_pylist()
-                for s in blocks([len(t) for t in texts], 1_000_000):
-                    own = [x.tobytes() for x in shingle_sets(texts[s], size)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(own)), pa.array(own, pa.binary())], ["_row", "shingles"])
 
-        return self.docs.join(rows, "_row", "left_semi").select("_row", "text").mapInArrow(read, "_row long, shingles binary")
+def confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs: a, b, without repeats.  Those that the estimate doesn't rule out and
+    for which 100 * intersection >= percent * union."""
+    sides = [reps.select(F.col("_row").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab"]
+    likely = pairs.join(sides[0], "a").join(sides[1], "b")
+    likely = likely.filter((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (estimate(F.col("bits_a"), F.col("bits_b")) >= percent / 100 - MARGIN))
+    likely = staged(likely.select("a", "b"), "likely")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """pairs: a, b, without repeats.  Those with 100 * intersection >= percent * union."""
-        percent = self.percent
-        sides = [self.reps.select(F.col("_row").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab"]
-        likely = pairs.join(sides[0], "a").join(sides[1], "b")
-        likely = likely.filter((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (estimate(F.col("bits_a"), F.col("bits_b")) >= percent / 100 - MARGIN))
-        likely = staged(likely.select("a", "b"), "likely")
-        rows = likely.select(F.col("a").alias("_row")).union(likely.select("b")).distinct()
-        sets = staged(self.sets(rows), "sets")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, x, y = (c.to_pylist() for c in batch.columns)
+            links = []
+            for i in range(len(a)):
+                p, q = np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                if 100 * both >= percent * (len(p) + len(q) - both):
+                    links.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in links], pa.int64()), pa.array([b[i] for i in links], pa.int64())], ["a", "b"])
+
+    left, right = (sets.select(F.col("_row").alias(s), F.col("shingles").alias(f"shingles_{s}")) for s in "ab")
+    with_sets = likely.join(left, "a").join(right, "b").select("a", "b", "shingles_a", "shingles_b")
+    return staged(with_sets.mapInArrow(compare, "a long, b long"), "linked")
+
+
+def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """members: key, rep.  Those of keys whose members lie in several components,
+    with component and the key's largest one."""
+    labels = components(links)
+    labelled = staged(members.join(labels, members["rep"] == labels["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), "labelled")
+    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
+    several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("size", "component")).alias("largest")).filter("parts > 1").select("key", "largest")
+    return staged(labelled.join(several, "key"), "open")
+
+
+def hub_pairs(members: DataFrame, seed: int) -> DataFrame:
+    """One drawn member of each key with those of other components."""
+    drawn = members.groupBy("key").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "key", F.lit(seed))).alias("hub"))
+    met = members.join(drawn, "key").filter(F.col("component") != F.col("hub.component"))
+    return met.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
+
+
+def common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of a with each of b."""
+    owner_b = np.repeat(np.arange(len(b)), [len(x) for x in b])
+    all_b = np.concatenate(b)
+    order = np.argsort(all_b, kind="stable")
+    all_b, owner_b = all_b[order], owner_b[order]
+    owner_a, all_a = np.repeat(np.arange(len(a)), [len(x) for x in a]), np.concatenate(a)
+    low, high = np.searchsorted(all_b, all_a, "left"), np.searchsorted(all_b, all_a, "right")
+    times = high - low
+    ends = np.cumsum(times)
+    at = np.arange(ends[-1]) + np.repeat(low - (ends - times), times)
+    return np.bincount(np.repeat(owner_a, times) * len(b) + owner_b[at], minlength=len(a) * len(b)).reshape(len(a), len(b))
+
+
+def block_links(few: list[dict], others: list[dict], percent: int) -> list[tuple[int, int]]:
+    """For each set of few a linked one of each other component among others."""
+    sides = [[np.frombuffer(m["shingles"], np.uint64) for m in side] for side in (few, others)]
+    sizes = np.array([len(x) for x in sides[1]])
+    of = np.array([m["component"] for m in others])
+    out = []
+    chunks = blocks([len(x) for x in sides[0]], 8192)
+    for chunk in chunks:
+        shared = common(sides[0][chunk], sides[1])
+        for k, both in enumerate(shared, chunk.start):
+            near = 100 * both >= percent * (len(sides[0][k]) + sizes - both)
+            hits = np.flatnonzero(near & (of != few[k]["component"]))
+            _, first = np.unique(of[hits], return_index=True)
+            out += [(min(few[k]["rep"], others[j]["rep"]), max(few[k]["rep"], others[j]["rep"])) for j in hits[first].tolist()]
+    return out
+
+
+def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes: int = 512 << 10) -> DataFrame:
+    """What hubs left apart, exactly.  Members that buckets connect are a family; its
+    members outside its largest component meet all of it, in blocks of sets that
+    are dealt out one by one, so neither a task nor a row grows with the family."""
+    hubs = opened.groupBy("key").agg(F.min("rep").alias("hub"))
+    families = components(opened.select("key", "rep").join(hubs, "key").filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+    members = opened.select("rep", "component").distinct().join(families.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep")
+    members = members.join(sets.select(F.col("_row").alias("rep"), "shingles"), "rep")
+    members = staged(members, "family-members")
+    parts = members.groupBy("family", "component").agg(F.count("*").alias("size"), F.sum(F.octet_length("shingles") + 64).alias("bytes"))
+    totals = staged(parts.groupBy("family").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.ceil(F.sum("bytes") / block_bytes).alias("blocks")), "families")
+    placed = members.join(totals, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    gathered = F.collect_list(F.struct("rep", "component", "shingles"))
+    everyone = placed.groupBy("family", "block").agg(gathered.alias("others"))
+    few = placed.filter("component <> largest").groupBy("family", "block", "blocks").agg(gathered.alias("few"))
+    met = few.select("family", "few", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).join(everyone, ["family", "block"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                links = block_links(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), percent)
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+
+    return staged(met.select("few", "others").mapInArrow(compare, "a long, b long"), "rest-linked")
 
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                a, b, x, y = (c.to_pylist() for c in batch.columns)
-                links = []
-                for i in range(len(a)):
-                    p, q = np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64)
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    if 100 * both >= percent * (len(p) + len(q) - both):
-                        links.append(i)
-                yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in links], pa.int64()), pa.array([b[i] for i in links], pa.int64())], ["a", "b"])
 
-        left, right = (sets.select(F.col("_row").alias(s), F.col("shingles").alias(f"shingles_{s}")) for s in "ab")
-        with_sets = likely.join(left, "a").join(right, "b").select("a", "b", "shingles_a", "shingles_b")
-        return staged(with_sets.mapInArrow(compare, "a long, b long"), "linked")
+HUB_ROUNDS = 2
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """_row, doc_id, n_shingles, component_id, kept for each row of docs, which has
     _row (unique), doc_id and text.  kept by doc_id; first: by row, so that of a
     component one row is first."""
+    spark = docs.sparkSession
     docs = docs.select("_row", F.col("doc_id").cast("long").alias("doc_id"), blank_as_empty().alias("text"))
     all_signed = staged(signed(docs, size), "signed")
     classes = staged(all_signed.filter("n > 0").groupBy("set_key").agg(F.min("_row").alias("rep")), "classes")
@@ -210,30 +283,24 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     keys = reps.select(F.col("_row").alias("rep"), F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).filter("members > 1").select("key", "hub")
     shared = staged(keys.join(hubs, "key"), "buckets")  # buckets of two and more
-    check = Links(docs, reps, size, percent)
-    stars = staged(shared.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
-    links = check.confirmed(stars)
-    if links.limit(1).count():
-        labels = components(links)
-        labelled = shared.join(labels, shared["rep"] == labels["node"], "left").select("key", "hub", "rep", F.coalesce("component", "rep").alias("component"))
-    else:
-        labelled = shared.withColumn("component", F.col("rep"))
-    labelled = staged(labelled, "labelled")
-    # buckets that hold several components: members outside the largest meet those of other components
-    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
-    open_ = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("size", "component")).alias("largest")).filter("parts > 1").select("key", "largest")
-    opened = staged(labelled.join(open_, "key").filter("rep <> hub"), "open")
-    few = opened.filter("component <> largest").select("key", F.col("rep").alias("x"), F.col("component").alias("of"))
-    met = few.join(opened.select("key", "rep", "component"), "key").filter("component <> of")
-    more = met.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-    more = staged(more.join(stars, ["a", "b"], "left_anti"), "across")
-    links = links.unionByName(check.confirmed(more))
-    if links.limit(1).count():
-        labels = components(links)
-        of = classes.join(labels, classes["rep"] == labels["node"], "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    else:
-        of = classes.select("set_key", F.col("rep").alias("component"))
-    of = staged(of, "class-components")
+    release(spark)
+    sets = staged(sets_of(docs, shared.select(F.col("rep").alias("_row")).distinct(), size), "sets")
+    release(spark)
+    tested = staged(shared.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+    links = confirmed(tested, reps, sets, percent)
+    opened = still_open(shared.select("key", "rep"), links)
+    for seed in range(HUB_ROUNDS):  # linear in the buckets' members; nearly all that is linked comes together here
+        pairs = staged(hub_pairs(opened, seed).join(tested, ["a", "b"], "left_anti"), "hub-pairs")
+        if not pairs.limit(1).count():
+            break
+        tested, links = tested.unionByName(pairs), links.unionByName(confirmed(pairs, reps, sets, percent))
+        opened = still_open(opened.select("key", "rep"), links)
+        release(spark)
+    if opened.limit(1).count():
+        links = links.unionByName(rest_of_links(opened, sets, percent))
+        release(spark)
+    labels = components(links)
+    of = staged(classes.join(labels, classes["rep"] == labels["node"], "left").select("set_key", F.coalesce("component", "rep").alias("component")), "class-components")
     named = staged(all_signed.select("_row", "doc_id", F.col("n").alias("n_shingles"), "set_key").join(of, "set_key", "left"), "members")
     heads = named.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("head"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best"))
     heads = staged(heads.select("component", "head", F.col("best._row").alias("head_row")), "heads")

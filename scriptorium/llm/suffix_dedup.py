@@ -25,7 +25,6 @@ of step 2 holds the different surroundings of one gram that repeats.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import struct
 import uuid
@@ -34,10 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import blank_as_empty, partitions, scratch, staged
+from .base import blank_as_empty, partitions, release, scratch, staged
 from .lcp_merge import front_coded, merged
 from .minhash import VALUES, Powers, mixed
 from .tokens import blocks
@@ -228,12 +227,6 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     return removed, runs, b"".join(kept)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of steps whose results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def distinct_texts(docs: DataFrame, buckets: int) -> DataFrame:
     """key, text, copies, bucketed by key, so that later joins leave texts where they are."""
     spark = docs.sparkSession
