@@ -100,3 +100,23 @@ def blank_as_null(value: Column) -> Column:
     """Catalogue cells: trimmed; blank and literal nan are null."""
     trimmed = F.trim(value)
     return F.when((trimmed == "") | (F.lower(trimmed) == "nan"), F.lit(None)).otherwise(trimmed)
+
+
+#: Catalogue names of languages and their identifiers (fixed values of ISO 639-3).
+LANGUAGES = {"français": "fra", "latin": "lat", "grec": "grc", "italien": "ita", "espagnol": "spa", "allemand": "deu", "anglais": "eng", "néerlandais": "nld"}
+
+
+def language_ident(name: Column) -> Column:
+    """A catalogue's name of a language, or an identifier as it stands; else und."""
+    low = F.lower(F.trim(name))
+    table = F.create_map(*(F.lit(x) for kv in LANGUAGES.items() for x in kv))
+    return F.coalesce(F.try_element_at(table, low), F.when(low.isin(*LANGUAGES.values()), low), F.lit("und"))
+
+
+def version_prefix(version: Column) -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(version, r"^\d+(?:\.\d+)*", 0), F.lit("")), F.lit("0"))
+
+
+def locator(kind: Column, document: Column, page: Column, path: Column) -> Column:
+    """What a loss points to: a document, a page of it, or a file."""
+    return F.when(kind == "DOC", document).when(kind == "PAGE", F.concat_ws("/", document, page)).when(kind == "FILE", path)

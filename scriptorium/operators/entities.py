@@ -106,3 +106,15 @@ def mention_ids(mentions: DataFrame, entity: str, order: str) -> DataFrame:
     """<entity>-m<k>, k from 1 in document order."""
     k = F.row_number().over(Window.partitionBy(entity).orderBy(order))
     return mentions.withColumn("mention_id", F.concat(F.col(entity).cast("string"), F.lit("-m"), k.cast("string")))
+
+
+def mention_links(mentions: DataFrame, entity: str, mention: str, order: str, first_fragment: Column) -> DataFrame:
+    """The mentions of each entity in order, without fragments that go on."""
+    links = F.transform(F.array_sort(F.collect_list(F.struct(order, mention))), lambda s: s[mention])
+    return mentions.filter(first_fragment).groupBy(entity).agg(links.alias("mentions"))
+
+
+def first_seen(rows: DataFrame, key: list[str], value: str, order: str) -> DataFrame:
+    """Distinct values of a key in the order first seen, as for tagsets used."""
+    each = rows.groupBy(*key, value).agg(F.min(order).alias("_at"))
+    return each.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", value))), lambda s: s[value]).alias("values"))

@@ -62,3 +62,22 @@ def select_incidents(incidents: DataFrame, document: str | None = None, code: st
     """By document, and by the beginning of the code."""
     out = incidents if document is None else incidents.filter(F.col("document") == document)
     return out if code is None else out.filter(F.col("code").startswith(code))
+
+
+def phases_lost(losses: DataFrame, code: str, document: str, lost: str = "PHASE_LOST") -> DataFrame:
+    """Documents of which a whole phase is lost."""
+    return losses.agg(F.countDistinct(F.when(F.col(code) == lost, F.col(document))).alias("documents"))
+
+
+def located(losses: DataFrame, block: str, page: str, count: str) -> DataFrame:
+    """What is lost at a known page, and what only in a document."""
+    on_page = F.col(page).isNotNull()
+    return losses.groupBy(block).agg(F.coalesce(F.sum(F.when(on_page, F.col(count))), F.lit(0)).alias("precise"), F.coalesce(F.sum(F.when(~on_page, F.col(count))), F.lit(0)).alias("document_only"))
+
+
+def by_cause(documents: DataFrame, document: str, causes: dict[str, str], total: str, otherwise: str) -> DataFrame:
+    """code and count: the counters of a document by the codes they stand for, or the
+    total under `otherwise` if none is set."""
+    known = sum((F.coalesce(F.col(c), F.lit(0)) for c in causes), F.lit(0))
+    rows = documents.select(document, F.explode(F.array(*(F.struct(F.lit(code).alias("code"), F.col(c).cast("long").alias("count")) for c, code in causes.items()), F.struct(F.lit(otherwise).alias("code"), F.when(known == 0, F.col(total)).cast("long").alias("count")))).alias("l"))
+    return rows.select(document, "l.code", "l.count").filter("count > 0")

@@ -123,3 +123,22 @@ def dehyphenated(lines: DataFrame, key: list[str]) -> DataFrame:
 
     schema = StructType(list(lines.schema.fields)).add("joined", StringType()).add("carried", BooleanType())
     return lines.groupBy(*key).applyInPandas(join, schema)
+
+
+def span_words(spans: DataFrame, words: DataFrame, key: list[str]) -> DataFrame:
+    """The words that each span (span_id, span_start, span_stop) overlaps, in order:
+    positions, forms and the range that they make together."""
+    met = spans.join(words, key).filter((F.col("start") < F.col("span_stop")) & (F.col("stop") > F.col("span_start")))
+    return met.groupBy(*key, "span_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda s: s["pos"]).alias("positions"),
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda s: s["word"]).alias("forms"),
+        F.min("start").alias("first"),
+        F.max("stop").alias("last"),
+    )
+
+
+def through_readings(found: DataFrame, words: DataFrame, key: list[str]) -> DataFrame:
+    """Words of a reading by their place for words of the original: positions that
+    the original lacks fall away, and the range is taken anew."""
+    each = found.select(*key, "span_id", F.explode("positions").alias("pos")).join(words, [*key, "pos"])
+    return each.groupBy(*key, "span_id").agg(F.array_sort(F.collect_list("pos")).alias("positions"), F.min("start").alias("first"), F.max("stop").alias("last"))

@@ -3,8 +3,9 @@ import json
 from pyspark.sql import functions as F
 
 from scriptorium import annotate, corpus
-from scriptorium.operators import catalogue, containers, entities, language, losses, notes, order, sentences, spans, validate
-from scriptorium.sources import alto, catalogues, sinks
+from scriptorium.operators import catalogue, containers, entities, language, losses, notes, offsets, order, sentences, spans, validate
+from scriptorium.functions import labels
+from scriptorium.sources import alto, catalogues, sinks, tei
 from scriptorium.streaming import ingest
 
 PAGE = """<alto xmlns="http://www.loc.gov/standards/alto/ns-v4#"><Tags><OtherTag ID="T1" LABEL="MainZone:column#1"/><OtherTag ID="T2" LABEL="default"/><OtherTag ID="T3"/></Tags>
@@ -176,3 +177,33 @@ def test_runs(spark):
     runs = spark.createDataFrame([("r1", corpus.manifest([], {}, {"a": "failed"}, 1)), ("r2", corpus.manifest([], {}, {"a": "ok", "b": "failed"}, 1))], "run string, value string")
     assert rows(corpus.failed(runs)) == [("b",)]
     assert corpus.kept_runs([f"r{k:02}" for k in range(13)], "r00") == ["r00"] + [f"r{k:02}" for k in range(3, 13)]
+
+
+def test_cleaning_keeps_origins():
+    text, origin = offsets.cleaned_with_origin("  iour  mot¬\n entier |ſi uuide auuoir")
+    assert text == "jour motentier si uuide auvoir"
+    assert len(origin) == len(text) and origin == sorted(origin)
+    plain, places = offsets.cleaned_with_origin("un deux")
+    assert plain == "un deux" and places == list(range(7))
+
+
+def test_splicing_trims_to_words():
+    text = "abc def ghi jkl"
+    assert offsets.spliced_segments(text, [(0, 6, "a"), (4, 11, "b"), (5, 6, "c"), (12, 99, "d")]) == [(0, 6, "a"), (8, 11, "b"), (12, 15, "d")]
+
+
+def test_spans_joined_over_hyphens(spark):
+    r = spark.range(1).select(offsets.dehyphenated_spans(F.array(F.lit("le mo¬ "), F.lit(" nde est"), F.lit(" là"))).alias("r")).first()["r"]
+    assert r["text"] == "le monde est là" and r["cuts"] == [5]
+
+
+def test_tei_elements(spark):
+    docs = spark.createDataFrame([("d", "<TEI xmlns='x'><text n='1'>a<ab/><ab xml:id='z'/></text></TEI>"), ("e", "<TEI")], "doc string, xml string")
+    found = {(r["doc"], r["ord"]): r for r in tei.elements(docs).collect()}
+    assert [found["d", k]["tag"] for k in range(4)] == ["TEI", "text", "ab", "ab"] and found["d", 3]["parent_ord"] == 1 and found["d", 3]["attrs"] == {"id": "z"} and found["d", 0]["parent_ord"] is None
+    assert found["e", 0]["tag"] == "unreadable"
+
+
+def test_small_label_functions(spark):
+    r = spark.range(1).select(labels.language_ident(F.lit(" Latin")).alias("a"), labels.language_ident(F.lit("basque")).alias("b"), labels.version_prefix(F.lit("1.2.x")).alias("c"), labels.version_prefix(F.lit("x")).alias("d"), labels.locator(F.lit("PAGE"), F.lit("v"), F.lit("f2"), F.lit("p")).alias("e")).first()
+    assert tuple(r) == ("lat", "und", "1.2", "0", "v/f2")
