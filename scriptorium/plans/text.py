@@ -89,7 +89,7 @@ def doc_prior_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.prefix_sample(d, ["source"], ["doc_id"], "size", 5000).groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("chars"))
 
 
-@query(f"SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, length(line) AS chars, {WORDS_SQL.format('line')} AS words FROM ({LINES})")
+@query(f"SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(length(line) AS INTEGER) AS chars, CAST({WORDS_SQL.format('line')} AS INTEGER) AS words FROM ({LINES})")
 def line_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = order.split_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
     return lines.select("doc_id", "line_no", F.length("line").alias("chars"), text.word_count(F.col("line")).alias("words"))
@@ -110,7 +110,7 @@ def token_span_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", "pos", F.concat_ws(",", text_of).alias("pieces"))
 
 
-@query(f"""WITH n AS (SELECT doc_id, {WORDS_SQL.format('text')} AS n_words FROM documents)
+@query(f"""WITH n AS (SELECT doc_id, CAST({WORDS_SQL.format('text')} AS INTEGER) AS n_words FROM documents)
 SELECT doc_id, n_words, CAST(first AS INTEGER) AS first, CAST(least(first + 240, n_words) AS INTEGER) AS last
 FROM (SELECT doc_id, n_words, unnest(range(0, greatest(0, CAST(ceil((n_words - 240) / 210.0::DOUBLE) AS BIGINT)) * 210 + 1, 210)) AS first FROM n)""")
 def word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,10 +164,10 @@ def span_filter_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.select("item_id", "pos", spans.span_reason(F.col("word"), (F.col("pos") % 10) / 10.0, F.lit("person"), F.lit("The And")).alias("reason"))
 
 
-@query("""SELECT doc_id, len(list_filter(regexp_split_to_array(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+@query("""SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
   replace(replace(replace(replace(replace(replace(replace(replace(replace(translate(regexp_replace(translate(text, '|¦', ''), '(\\p{L})[¬-]\\s*\\n\\s*(\\p{L})', '\\1\\2', 'g'), '¬', ''),
   'ſ', 's'), 'æ', 'ae'), 'œ', 'oe'), 'Æ', 'AE'), 'Œ', 'OE'), 'ß', 'ss'), 'ë', 'e'), 'ï', 'i'), 'ü', 'u'),
-  '(\\p{L})uu(\\p{L})', '\\1uv\\2', 'g'), '(^|[^\\p{L}])i([aeiou])', '\\1j\\2', 'g'), '(^|[^\\p{L}])I([aeiou])', '\\1J\\2', 'g'), '\\s+', ' ', 'g')), ' '), lambda w: w <> '')) AS words,
+  '(\\p{L})uu(\\p{L})', '\\1uv\\2', 'g'), '(^|[^\\p{L}])i([aeiou])', '\\1j\\2', 'g'), '(^|[^\\p{L}])I([aeiou])', '\\1J\\2', 'g'), '\\s+', ' ', 'g')), ' '), lambda w: w <> '')) AS INTEGER) AS words,
   md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
   replace(replace(replace(replace(replace(replace(replace(replace(replace(translate(regexp_replace(translate(text, '|¦', ''), '(\\p{L})[¬-]\\s*\\n\\s*(\\p{L})', '\\1\\2', 'g'), '¬', ''),
   'ſ', 's'), 'æ', 'ae'), 'œ', 'oe'), 'Æ', 'AE'), 'Œ', 'OE'), 'ß', 'ss'), 'ë', 'e'), 'ï', 'i'), 'ü', 'u'),
