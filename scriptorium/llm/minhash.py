@@ -6,7 +6,7 @@ similarity by bit counts, corrected for chance collisions; pairs whose estimate
 is near the threshold or over it are confirmed on the full sets.  Documents with
 equal sets are one candidate.  A bucket emits no more than a star of pairs to
 its smallest member, and components are built from the confirmed ones.  Buckets
-that still hold several components draw other hubs for a few rounds; of what is
+that still hold several components draw another hub; of what is
 then open, members outside their family's largest component are compared with
 all of it, in blocks.
 
@@ -122,7 +122,7 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             texts = batch.column(2).to_pylist()
             sizes, keys, bands, bits = [], [], [], []
-            for s in blocks([len(t) for t in texts], 1_000_000):
+            for s in blocks([len(t) for t in texts], 500_000):
                 for shingles in shingle_sets(texts[s], size):
                     sizes.append(len(shingles))
                     keys.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
@@ -163,7 +163,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for s in blocks([len(t) for t in texts], 1_000_000):
+            for s in blocks([len(t) for t in texts], 500_000):
                 own = [x.tobytes() for x in shingle_sets(texts[s], size)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(own)), pa.array(own, pa.binary())], ["_row", "shingles"])
 
@@ -196,8 +196,9 @@ def confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
 
 def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
     """members: key, rep.  Those of keys whose members lie in several components,
-    with component and the key's largest one."""
-    labels = components(links)
+    with component and the key's largest one.  One round of labels does: a part of a
+    component counts as one of its own."""
+    labels = components(links, rounds=1)
     labelled = staged(members.join(labels, members["rep"] == labels["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), "labelled")
     parts = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
     several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("size", "component")).alias("largest")).filter("parts > 1").select("key", "largest")
@@ -268,7 +269,7 @@ def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes:
     return staged(met.select("few", "others").mapInArrow(compare, "a long, b long"), "rest-linked")
 
 
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
