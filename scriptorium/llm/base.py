@@ -47,6 +47,21 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
+    """Texts reach Python in small Arrow batches, which bounds what a worker holds; a
+    setting below these stays."""
+    for name, most, number in (("maxRecordsPerBatch", str(rows), int), ("maxBytesPerBatch", size, _bytes)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if not 0 < number(spark.conf.get(key)) <= number(most):
+            spark.conf.set(key, most)
+
+
+def _bytes(text: str) -> int:
+    units = {"b": 0, "k": 10, "m": 20, "g": 30}
+    low = text.lower().removesuffix("b") or "0"
+    return int(low[:-1]) << units[low[-1]] if low[-1] in units else int(low)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

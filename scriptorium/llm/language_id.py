@@ -81,32 +81,35 @@ def train(labelled: DataFrame, sample_docs: int = 6000, words: int = 20_000, gra
 
 
 class Scorer:
-    """Scores words by a model; remembers at most max_words unseen words."""
+    """Scores words by a model; remembers at most max_words words."""
 
     STEP = 0.4  # the cost in log units of each shorter n-gram length, as in stupid backoff
     FLOOR = 0.5  # the count that an item has in a language without it
 
-    def __init__(self, model: dict, max_words: int = 400_000):
+    def __init__(self, model: dict, max_words: int = 200_000):
         self.languages, self.max_words = model["languages"], max_words
-        self.tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
         column = {lang: k for k, lang in enumerate(self.languages)}
-        floor = np.array([[np.log(self.FLOOR / max(1, model["sums"].get((lang, size), 1))) for lang in self.languages] for size in range(LONGEST + 1)])
+        self.tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        for _, size, item, _ in model["items"]:
+            self.tables[size].setdefault(item, len(self.tables[size]))
+        self.logs = []
+        for size, items in enumerate(self.tables):
+            floor = [np.log(self.FLOOR / max(1, model["sums"].get((lang, size), 1))) for lang in self.languages]
+            self.logs.append(np.tile(np.array(floor, np.float32), (len(items), 1)))
         for lang, size, item, n in model["items"]:
-            if item not in self.tables[size]:
-                self.tables[size][item] = floor[size].copy()
-            self.tables[size][item][column[lang]] = np.log(n / model["sums"][lang, size])
+            self.logs[size][self.tables[size][item], column[lang]] = np.log(n / model["sums"][lang, size])
         self.forget()
 
     def forget(self) -> None:
-        self.index = {w: k for k, w in enumerate(self.tables[0])}
-        self.rows = np.array(list(self.tables[0].values())).reshape(len(self.index), len(self.languages))
+        self.index = dict(self.tables[0])
+        self.rows = self.logs[0]
 
     def unseen(self, word: str) -> np.ndarray:
         for size in range(LONGEST, 0, -1):
-            known = [v for v in map(self.tables[size].get, grams(word, size)) if v is not None]
+            known = [k for k in map(self.tables[size].get, grams(word, size)) if k is not None]
             if known:
-                return np.mean(known, axis=0) - self.STEP * np.log(10) * (LONGEST + 1 - size)
-        return np.zeros(len(self.languages))
+                return self.logs[size][known].mean(axis=0) - np.float32(self.STEP * np.log(10) * (LONGEST + 1 - size))
+        return np.zeros(len(self.languages), np.float32)
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The sum of each text's words by language, and how many words it has."""
@@ -123,7 +126,7 @@ class Scorer:
             at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
         some = np.flatnonzero(counts)
         if len(some):
-            sums[some] = np.add.reduceat(self.rows[at], (np.cumsum(counts) - counts)[some], axis=0)
+            sums[some] = np.add.reduceat(self.rows[at].astype(float), (np.cumsum(counts) - counts)[some], axis=0)
         return sums, counts
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:

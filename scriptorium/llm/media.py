@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import avi
 from .base import blank_as_empty
-from .tokens import blocks
+from .tokens import slices
 
 UNIT = 64
 BATCH = 1 << 20  # bytes that are coded side by side
@@ -40,10 +40,10 @@ def stored(docs: DataFrame) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode() for t in batch.column(1).to_pylist()]
-            for s in blocks([len(t) for t in texts], BATCH):
-                media = avi.encode([padded(t) for t in texts[s]])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(media)), pa.array([len(t) for t in texts[s]], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+            for part in slices(batch, 1, BATCH):
+                texts = [t.encode() for t in part.column(1).to_pylist()]
+                media = avi.encode([padded(t) for t in texts])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     return docs.select(F.col("doc_id").cast("long"), blank_as_empty().alias("text")).mapInArrow(encode, "doc_id long, n_bytes long, media binary")
 
@@ -73,15 +73,14 @@ def read_back(media: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            files = batch.column(2).to_pylist()
-            for s in blocks([len(f) for f in files], BATCH):
-                rows = []
-                for file, (payload, frames) in zip(files[s], avi.decode(files[s]), strict=True):
+            for part in slices(batch, 2, BATCH):
+                rows, files = [], part.column(2).to_pylist()
+                for file, (payload, frames) in zip(files, avi.decode(files), strict=True):
                     feature = f"{len(frames)}:" + ",".join(f"{a}-{b}" for a, b in shots(frames))
                     rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(file), hashlib.sha256(file).hexdigest(), feature))
                 types = pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()
                 names = "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(rows)), batch.column(1).slice(s.start, len(rows)), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], ["doc_id", "n_bytes", *names])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(types))], ["doc_id", "n_bytes", *names])
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
@@ -91,11 +90,10 @@ def clips(media: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, files = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for s in blocks([len(f) for f in files], BATCH):
+            for part in slices(batch, 1, BATCH):
                 rows = [
                     (doc, k, a / avi.RATE, b / avi.RATE, b - a, float(frames[a:b].mean()))
-                    for doc, (_, frames) in zip(ids[s], avi.decode(files[s]), strict=True)
+                    for doc, (_, frames) in zip(part.column(0).to_pylist(), avi.decode(part.column(1).to_pylist()), strict=True)
                     for k, (a, b) in enumerate(shots(frames))
                 ]
                 types = pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.float64()

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..deploy import ship
 from . import language_id, length_histogram, line_crf, media, minhash, mixing, packing, sharding, suffix_dedup
-from .base import staged, table
+from .base import small_batches, staged, table
 from .exact_dedup import DigestIndex, exact_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +19,14 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
-    return f
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        small_batches(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 SHARD_BYTES = 1 << 20

@@ -138,21 +138,30 @@ def placed_cells(texts: DataFrame, window: int, gram: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(place, "key binary, start int, windows int, gram long, cell long")
 
 
-def sorted_runs(marked: DataFrame, window: int, parts: int) -> DataFrame:
-    """marked: text, marks (start, windows, gram).  part, run: each batch's
-    different cells, sorted and front-coded, by part."""
+def sorted_runs(marked: DataFrame, window: int, parts: int, run_bytes: int = 24 << 20) -> DataFrame:
+    """marked: text, marks (start, windows, gram).  part, run: a task's different
+    cells, about run_bytes at a time, sorted and front-coded, by part."""
+
+    def dealt(found: Counter[bytes]) -> pa.RecordBatch:
+        by_part = defaultdict(list)
+        for s in sorted(found):
+            by_part[int.from_bytes(s[4:GRAM]) % parts].append(s)
+        return pa.RecordBatch.from_arrays([pa.array(list(by_part), pa.int64()), pa.array([front_coded(v, [found[s] for s in v]) for v in by_part.values()], pa.binary())], ["part", "run"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[bytes] = Counter()
+        size = 0
         for batch in batches:
-            found: Counter[bytes] = Counter()
             for text, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = text.encode()
                 for m in marks:
-                    found[cell_string(m["gram"], raw[m["start"] : m["start"] + m["windows"] + window - 1])] += 1
-            dealt = defaultdict(list)
-            for s in sorted(found):
-                dealt[int.from_bytes(s[4:8]) % parts].append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(list(dealt), pa.int64()), pa.array([front_coded(v, [found[s] for s in v]) for v in dealt.values()], pa.binary())], ["part", "run"])
+                    s = cell_string(m["gram"], raw[m["start"] : m["start"] + m["windows"] + window - 1])
+                    size += 0 if s in found else len(s)
+                    found[s] += 1
+                if size > run_bytes:
+                    yield dealt(found)
+                    found, size = Counter(), 0
+        yield dealt(found)
 
     return marked.select("text", "marks").mapInArrow(sort, "part long, run binary")
 

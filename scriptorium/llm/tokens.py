@@ -126,7 +126,7 @@ class WordTokenizer:
 
     LONGEST = 80
 
-    def __init__(self, path: str, max_words: int = 800_000):
+    def __init__(self, path: str, max_words: int = 600_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -237,3 +237,10 @@ def blocks(sizes: list[int], most: int) -> Iterator[slice]:
         total += n
     if start < len(sizes):
         yield slice(start, len(sizes))
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts or bytes in a column make about most bytes, so
+    that only a part at a time becomes Python objects."""
+    for s in blocks(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist(), most):
+        yield batch.slice(s.start, s.stop - s.start)
