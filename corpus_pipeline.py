@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptorium.deploy import ship
 from scriptorium.llm import language_id, minhash, mixing, packing
-from scriptorium.llm.base import documents_like, staged, table, with_rows
+from scriptorium.llm.base import documents_like, small_batches, staged, table, with_rows
 from scriptorium.llm.exact_dedup import DigestIndex, exact_dedup
 from scriptorium.llm.queries import KEEP, LANGUAGES, SOURCES, TOPIC_SHARES
 
@@ -17,11 +19,30 @@ ROW = "_row"
 SURE = 0.5  # of the language, at least
 
 
+COLUMNS = "doc_id", "text", "lang", "source", "n_chars"
+
+
+def plainly_named(stage: Stage) -> Stage:
+    """Columns besides those of documents go through a stage under names of their
+    own, so that none clashes with the stage's, and come back under theirs."""
+
+    @wraps(stage)
+    def staged_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        small_batches(spark)
+        names = [c if c in COLUMNS else f"_extra{k}" for k, c in enumerate(docs.columns)]
+        out = stage(spark, docs.toDF(*names), sf_dir)
+        return out.toDF(*docs.columns) if out.columns == names else out
+
+    return staged_
+
+
 def _kept(rows: DataFrame, keep: DataFrame, columns: list[str]) -> DataFrame:
     """The rows named in keep, with the columns of documents."""
     return documents_like(rows.join(keep.select(ROW), ROW, "left_semi"), columns)
 
 
+@plainly_named
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or of no sure language, go."""
     model = language_id.trained_on(docs)
@@ -29,22 +50,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return documents_like(found.filter((F.col("_lang_pred") != language_id.UNDETERMINED) & (F.col("_lang_score") >= SURE)), docs.columns)
 
 
+@plainly_named
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = with_rows(docs, "documents", row=ROW)
     return _kept(rows, exact_dedup(rows, DigestIndex(spark), F.col(ROW)).filter("kept"), docs.columns)
 
 
+@plainly_named
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles and a similarity of 0.8; the smallest doc_id of a group stays."""
     rows = with_rows(docs, "documents", row=ROW)
     return _kept(rows, minhash.near_dedup(rows.select(ROW, "doc_id", "text"), size=5, percent=80).filter("first"), docs.columns)
 
 
+@plainly_named
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     measured = mixing.measured(docs)
     return documents_like(mixing.mixed(measured, (SOURCES, LANGUAGES, TOPIC_SHARES), KEEP).filter("_sampled"), docs.columns)
 
 
+@plainly_named
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
