@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_open: list[list[str]] = []  # paths made inside each `temporary`
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -41,6 +49,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted when it ends without an error, so what is
+    returned must be staged outside."""
+    _open.append([])
+    try:
+        yield
+        for path in _open[-1]:
+            deleted(spark, path)
+    finally:
+        _open.pop()
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of steps whose results are written."""
     gc.collect()

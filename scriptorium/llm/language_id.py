@@ -29,6 +29,7 @@ from pyspark.sql.types import DoubleType, StringType, StructType
 
 from .base import staged
 from .tokens import blocks
+from .worker import kept
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
@@ -73,11 +74,20 @@ def train(labelled: DataFrame, sample_docs: int = 6000, words: int = 20_000, gra
     totals = counted.groupBy("lang", "size").agg(F.sum("n").alias("total"), F.count("*").alias("items"))
     top = totals.filter("size = 0").orderBy(F.desc("total"), "lang").limit(languages).select("lang")
     best = Window.partitionBy("lang", F.col("size") == 0).orderBy(F.desc("n"), "size", "item")
-    kept = counted.join(F.broadcast(top), "lang").select("*", F.row_number().over(best).alias("rank"))
-    kept = kept.filter((F.col("rank") <= F.when(F.col("size") == 0, words).otherwise(grams_kept)) & ((F.col("n") > 1) | (F.col("size") > 0)))
+    most = counted.join(F.broadcast(top), "lang").select("*", F.row_number().over(best).alias("rank"))
+    most = most.filter((F.col("rank") <= F.when(F.col("size") == 0, words).otherwise(grams_kept)) & ((F.col("n") > 1) | (F.col("size") > 0)))
     names = sorted(r["lang"] for r in top.collect())
     sums = {(r["lang"], r["size"]): r["total"] for r in totals.join(F.broadcast(top), "lang").collect()}
-    return {"languages": names, "sums": sums, "items": [tuple(r) for r in kept.select("lang", "size", "item", "n").collect()]}
+    items = most.select("lang", "size", "item", "n").collect()
+    place = {lang: k for k, lang in enumerate(names)}
+    return {
+        "languages": names,
+        "sums": sums,
+        "items": "\n".join(r["item"] for r in items),  # letters and <>: one text is far smaller than its parts
+        "lang": np.array([place[r["lang"]] for r in items], np.int32),
+        "size": np.array([r["size"] for r in items], np.int8),
+        "n": np.array([r["n"] for r in items], np.int64),
+    }
 
 
 class Scorer:
@@ -88,16 +98,16 @@ class Scorer:
 
     def __init__(self, model: dict, max_words: int = 200_000):
         self.languages, self.max_words = model["languages"], max_words
-        column = {lang: k for k, lang in enumerate(self.languages)}
+        items = model["items"].split("\n") if len(model["n"]) else []
         self.tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        for _, size, item, _ in model["items"]:
+        for size, item in zip(model["size"].tolist(), items, strict=True):
             self.tables[size].setdefault(item, len(self.tables[size]))
         self.logs = []
-        for size, items in enumerate(self.tables):
+        for size, known in enumerate(self.tables):
             floor = [np.log(self.FLOOR / max(1, model["sums"].get((lang, size), 1))) for lang in self.languages]
-            self.logs.append(np.tile(np.array(floor, np.float32), (len(items), 1)))
-        for lang, size, item, n in model["items"]:
-            self.logs[size][self.tables[size][item], column[lang]] = np.log(n / model["sums"][lang, size])
+            self.logs.append(np.tile(np.array(floor, np.float32), (len(known), 1)))
+        for lang, size, item, n in zip(model["lang"].tolist(), model["size"].tolist(), items, model["n"].tolist(), strict=True):
+            self.logs[size][self.tables[size][item], lang] = np.log(n / model["sums"][self.languages[lang], size])
         self.forget()
 
     def forget(self) -> None:
@@ -140,22 +150,16 @@ class Scorer:
         return [self.languages[b] if n else UNDETERMINED for b, n in zip(best, counts, strict=True)], [float(s) if n else 0.0 for s, n in zip(sure, counts, strict=True)]
 
 
-_held: dict[str, Scorer] = {}
-
-
 def scorer_of(key: str, model: Broadcast) -> Scorer:
     """One for each Python worker, which keeps it from task to task."""
-    if key not in _held:
-        _held.clear()
-        _held[key] = Scorer(model.value)
-    return _held[key]
+    return kept(f"scorer {key}", lambda: Scorer(model.value))
 
 
 def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The columns of each document, or all of them, with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages * (words + grams_kept) items at most
     wanted = docs.select(*columns, F.col("text").alias("_text")) if columns else docs
-    at, kept = (len(columns), len(columns)) if columns else (docs.columns.index("text"), len(docs.columns))
+    at, width = (len(columns), len(columns)) if columns else (docs.columns.index("text"), len(docs.columns))
     key = uuid.uuid4().hex
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +172,9 @@ def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[
                 a, b = scorer.predict(texts[s])
                 langs += a
                 scores += b
-            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:kept], *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:width], *names])
 
-    schema = StructType(wanted.schema.fields[:kept]).add(names[0], StringType()).add(names[1], DoubleType())
+    schema = StructType(wanted.schema.fields[:width]).add(names[0], StringType()).add(names[1], DoubleType())
     return wanted.mapInArrow(predict, schema)
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import blank_as_empty, release, staged, with_rows
+from .base import blank_as_empty, release, scratch, staged, temporary, with_rows
 from .components import components
 from .tokens import blocks
 
@@ -272,10 +272,8 @@ def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes:
 HUB_ROUNDS = 1
 
 
-def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """_row, doc_id, n_shingles, component_id, kept for each row of docs, which has
-    _row (unique), doc_id and text.  kept by doc_id; first: by row, so that of a
-    component one row is first."""
+def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """_row, doc_id, n_shingles, component (null without words) of each row of docs."""
     spark = docs.sparkSession
     docs = docs.select("_row", F.col("doc_id").cast("long").alias("doc_id"), blank_as_empty().alias("text"))
     all_signed = staged(signed(docs, size), "signed")
@@ -302,7 +300,19 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         release(spark)
     labels = components(links)
     of = staged(classes.join(labels, classes["rep"] == labels["node"], "left").select("set_key", F.coalesce("component", "rep").alias("component")), "class-components")
-    named = staged(all_signed.select("_row", "doc_id", F.col("n").alias("n_shingles"), "set_key").join(of, "set_key", "left"), "members")
+    return all_signed.select("_row", "doc_id", F.col("n").alias("n_shingles"), "set_key").join(of, "set_key", "left").drop("set_key")
+
+
+def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """_row, doc_id, n_shingles, component_id, kept for each row of docs, which has
+    _row (unique), doc_id and text.  kept by doc_id; first: by row, so that of a
+    component one row is first."""
+    spark = docs.sparkSession
+    path = scratch(spark, "members")
+    with temporary(spark):
+        members_of(docs, size, percent).write.parquet(path)
+    release(spark)
+    named = spark.read.parquet(path)
     heads = named.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("head"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best"))
     heads = staged(heads.select("component", "head", F.col("best._row").alias("head_row")), "heads")
     out = named.join(heads, "component", "left")

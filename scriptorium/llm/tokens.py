@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .worker import kept
+
 #: Separators of words that the tokenizer takes for signs, capitals whose small
 #: letter hangs on the context, and the opening of special tokens.
 ODD = "\x1c", "\x1d", "\x1e", "\x1f", "<|"
@@ -217,14 +219,9 @@ class WordTokenizer:
         return found
 
 
-_held: dict[str, WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
     """One for each Python worker, which keeps it from task to task."""
-    if path not in _held:
-        _held[path] = WordTokenizer(path)
-    return _held[path]
+    return kept(f"tokenizer {path}", lambda: WordTokenizer(path))
 
 
 def blocks(sizes: list[int], most: int) -> Iterator[slice]:

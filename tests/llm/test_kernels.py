@@ -155,7 +155,7 @@ def test_packer_prefers_like_documents():
 
 
 def test_backoff_to_shorter_grams():
-    model = {"languages": ["de", "en"], "sums": {(lang, k): 10 for lang in ("de", "en") for k in range(6)}, "items": [("en", 0, "the", 5), ("de", 0, "der", 5), ("de", 3, "sch", 4), ("en", 2, "ng", 3)]}
+    model = {"languages": ["de", "en"], "sums": {(lang, k): 10 for lang in ("de", "en") for k in range(6)}, "items": "the\nder\nsch\nng", "lang": np.array([1, 0, 0, 1]), "size": np.array([0, 0, 3, 2]), "n": np.array([5, 5, 4, 3])}
     scorer = language_id.Scorer(model)
     assert scorer.predict(["the the", "der", "xschx", "zzng", "", "123 ..."]) [0] == ["en", "de", "de", "en", "und", "und"]
     assert scorer.predict([""])[1] == [0.0]
