@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scriptorium.deploy import ship
 from scriptorium.llm import language_id, minhash, mixing, packing
 from scriptorium.llm.base import documents_like, small_batches, staged, table, with_rows
-from scriptorium.llm.exact_dedup import DigestIndex, exact_dedup
+from scriptorium.llm.exact_dedup import DigestIndex, exact_dedup, text_sha256
 from scriptorium.llm.queries import KEEP, LANGUAGES, SOURCES, TOPIC_SHARES
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -52,8 +52,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @plainly_named
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = with_rows(docs, "documents", row=ROW)
-    return _kept(rows, exact_dedup(rows, DigestIndex(spark), F.col(ROW)).filter("kept"), docs.columns)
+    """Of equal texts one row; texts are joined once, by digest and doc_id, so that a
+    hot text's copies are spread over tasks."""
+    keep = exact_dedup(docs, DigestIndex(spark)).filter("kept").select(F.col("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep"))
+    rows = docs.withColumn("_digest", text_sha256())
+    same = rows.join(keep, (rows["_digest"] == keep["_digest"]) & rows["doc_id"].eqNullSafe(keep["_keep"]), "left_semi")
+    first = Window.partitionBy("_digest", "doc_id").orderBy(F.desc(F.length("text")), F.xxhash64(*docs.columns))
+    return documents_like(same.withColumn("_first", F.row_number().over(first)).filter("_first = 1"), docs.columns)
 
 
 @plainly_named
