@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import blank_as_empty, staged
@@ -30,7 +30,7 @@ STEP = 6  # bits of depth beyond the mean that one round looks at
 PAGE_ROWS = 16  # bits of the row number inside a block of rows
 
 
-def prefix(depth: int | str, hash_: str = "h") -> F.Column:
+def prefix(depth: int | str, hash_: str = "h") -> Column:
     return F.expr(f"shiftright({hash_}, {BITS} - ({depth}))")
 
 
@@ -62,7 +62,7 @@ def directory(rows: DataFrame, low: int, high: int, limit: int) -> tuple[DataFra
 def assigned(rows: DataFrame, shards: DataFrame, high: int) -> DataFrame:
     """rows of a shard, by the directory's entries of high bits."""
     entries = shards.select("depth", "prefix", "bytes", "docs", F.explode(F.expr(f"sequence(shiftleft(prefix, {high} - depth), shiftleft(prefix + 1, {high} - depth) - 1)")).alias("p"))
-    return rows.withColumn("p", prefix(high)).join(entries, "p").drop("p")
+    return rows.withColumn("p", prefix(high)).join(entries.hint("merge"), "p").drop("p")
 
 
 def shard(docs: DataFrame, limit: int) -> DataFrame:
