@@ -247,9 +247,9 @@ def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes:
     """What hubs left apart, exactly.  Members that buckets connect are a family; its
     members outside its largest component meet all of it, in blocks of sets that
     are dealt out one by one, so neither a task nor a row grows with the family."""
-    hubs = opened.groupBy("key").agg(F.min("rep").alias("hub"))
-    families = components(opened.select("key", "rep").join(hubs, "key").filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
-    members = opened.select("rep", "component").distinct().join(families.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep")
+    least = opened.groupBy("key").agg(F.min("component").alias("a"))  # linked members stand for one
+    families = components(opened.select("key", F.col("component").alias("b")).join(least, "key").filter("a <> b").select("a", "b").distinct())
+    members = opened.select("rep", "component").distinct().join(families.select("node", F.col("component").alias("family")), F.col("component") == F.col("node")).drop("node")
     members = members.join(sets.select(F.col("_row").alias("rep"), "shingles"), "rep")
     members = staged(members, "family-members")
     parts = members.groupBy("family", "component").agg(F.count("*").alias("size"), F.sum(F.octet_length("shingles") + 64).alias("bytes"))
