@@ -193,11 +193,12 @@ def sendable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def reading_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similarity of each turn's first line to the turn's before it, with its band."""
-    nxt = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    first = lambda c: F.substring_index(c, "\n", 1)
-    pairs = table(spark, sf_dir, "conversations").select("conv_id", "turn", first(F.col("text")).alias("a"), first(nxt).alias("b")).filter(F.col("b").isNotNull())
-    scored = pairs.select("conv_id", "turn", F.round(kernels.ratio("a", "b"), 6).alias("similarity"))
+    """Similarity of each line to the one at its place in the document before of the source, with its band."""
+    before = F.lag(F.coalesce("text", F.lit(""))).over(Window.partitionBy("source").orderBy("doc_id"))
+    pairs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), before.alias("reading")).filter(F.col("reading").isNotNull())
+    cut = pairs.select("doc_id", F.split("text", "\n").alias("a"), F.split("reading", "\n").alias("b"))
+    lines = cut.select("doc_id", F.posexplode(F.arrays_zip("a", "b")).alias("line_no", "l")).select("doc_id", "line_no", *(F.coalesce(f"l.{c}", F.lit("")).alias(c) for c in "ab"))
+    scored = lines.repartition("doc_id", "line_no").select("doc_id", "line_no", F.round(kernels.ratio("a", "b"), 6).alias("similarity"))
     return scored.withColumn("cert", text.band(F.col("similarity"), [(0.95, "high"), (0.8, "medium"), (0.0, "low")]))
 
 

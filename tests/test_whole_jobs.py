@@ -1,6 +1,7 @@
 """Queries that must read all of their input, against brute force on small tables."""
 
 from collections import defaultdict
+from itertools import zip_longest
 
 from scriptorium.functions import kernels
 from scriptorium.plans import all as plans
@@ -15,3 +16,14 @@ def test_model_merge_reads_every_order(spark, tmp_path):
     expected = [(o, k, m["type"], m["confidence"], m["model"], sorted(m["words"])) for o, (a, b) in sides.items() for k, m in enumerate(kernels.agreed(a, b))]
     found = [(r["l_orderkey"], r["ord"], r["type"], r["confidence"], r["model"], r["words"]) for r in plans.QUERIES["model_merge"](spark, str(tmp_path)).collect()]
     assert sorted(found) == sorted(expected) and {r[0] for r in found} == set(range(1, 12))
+
+
+def test_reading_similarity_compares_every_line(spark, tmp_path):
+    texts = {1: "le roy\nde france\nest mort", 2: "le roy\nde frence\nvive le roy\nfin", 4: None, 5: "seul"}
+    spark.createDataFrame([(k, t, "s") for k, t in texts.items()] + [(3, "autre", "z")], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    expected = []
+    for a, b in ((2, 1), (4, 2), (5, 4)):
+        lines = zip_longest((texts[a] or "").split("\n"), (texts[b] or "").split("\n"), fillvalue="")
+        expected += [(a, k, round(kernels.similarity(x, y), 6)) for k, (x, y) in enumerate(lines)]
+    found = plans.QUERIES["reading_similarity"](spark, str(tmp_path)).select("doc_id", "line_no", "similarity").collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
\ No newline at end of file
