@@ -3,9 +3,10 @@
 Tokens are summed by cell of source, language and topic; the cell weights are
 raked until each marginal meets its target, and documents are sampled with the
 cells' calibrated probabilities, scaled so that a share `keep` of all tokens is
-expected.  Values without a target of their own share what the targets leave, as
-one value, so the number of cells is bounded by the targets and the cells fit the
-driver whatever the corpus.
+expected.  Values without a target of their own share what the targets leave, or
+their own share of the tokens if that is more (the targets are then scaled to what
+it leaves), as one value, so the number of cells is bounded by the targets and the
+cells fit the driver whatever the corpus.
 
 A topic is any column; without one a document gets the lexical bucket that most
 of its longer words fall into.  Null source, language or topic counts as without
@@ -81,7 +82,11 @@ def rake(cells: list[tuple], targets: tuple[dict, ...], sweeps: int = SWEEPS) ->
     for d, wanted in enumerate(targets):
         wanted = {str(k): v for k, v in wanted.items()}
         values = sorted({c[d] for c in cells if c[-1]})
-        goal = np.array([wanted.get(v, max(0.0, 1 - sum(wanted.values()))) for v in values])
+        left = max(0.0, 1 - sum(wanted.values()))
+        own = sum(w for c, w in zip(cells, weights, strict=True) if c[d] not in wanted)
+        given = sum(wanted.get(v, 0.0) for v in values)
+        scale = (1 - own) / given if own > left and given else 1.0
+        goal = np.array([wanted[v] * scale if v in wanted else max(left, own) for v in values])
         place = {v: k for k, v in enumerate(values)}
         groups.append(np.array([place.get(c[d], 0) for c in cells], np.int64))
         goals.append(goal / max(goal.sum(), 1e-300))

@@ -4,6 +4,7 @@ from collections import defaultdict
 from itertools import zip_longest
 
 from scriptorium.functions import kernels
+from scriptorium.llm import mixing, queries
 from scriptorium.plans import all as plans
 
 
@@ -26,4 +27,17 @@ def test_reading_similarity_compares_every_line(spark, tmp_path):
         lines = zip_longest((texts[a] or "").split("\n"), (texts[b] or "").split("\n"), fillvalue="")
         expected += [(a, k, round(kernels.similarity(x, y), 6)) for k, (x, y) in enumerate(lines)]
     found = plans.QUERIES["reading_similarity"](spark, str(tmp_path)).select("doc_id", "line_no", "similarity").collect()
-    assert sorted(map(tuple, found)) == sorted(expected)
\ No newline at end of file
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
+def test_mixing_keeps_what_has_no_target(spark):
+    rows = [(k, f"src{k % 3}" if k % 4 else ("web", None)[k % 8 == 0], ("en", "fr", "it", None)[k // 4 % 4], "lorem ipsum " * (3 + k % 5)) for k in range(160)]
+    docs = mixing.measured(spark.createDataFrame(rows, "doc_id long, source string, lang string, text string"))
+    found = mixing.mixed(docs, (queries.SOURCES, queries.LANGUAGES, queries.TOPIC_SHARES), queries.KEEP).collect()
+    assert all(r["_probability"] > 0 for r in found)
+    expected = lambda rest: sum(r["_tokens"] * r["_probability"] for r in rest) / sum(r["_tokens"] * r["_probability"] for r in found)
+    share = lambda rest: sum(r["_tokens"] for r in rest) / sum(r["_tokens"] for r in found)
+    for rest in ([r for r in found if r["lang"] not in queries.LANGUAGES], [r for r in found if r["source"] not in queries.SOURCES]):
+        assert expected(rest) > 0.6 * share(rest)
+    only = mixing.mixed(docs.filter("lang is null"), (queries.SOURCES, queries.LANGUAGES, queries.TOPIC_SHARES), queries.KEEP).collect()
+    assert only and all(r["_probability"] > 0 for r in only)
\ No newline at end of file
