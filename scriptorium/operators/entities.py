@@ -70,8 +70,10 @@ def cut_off(df: DataFrame) -> DataFrame:
     return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.persist()
 
 
-def fuzzy_merged(names: DataFrame, key: list[str], name: str, order: str, mentions: str, threshold: float = 0.78, rounds: int = 20) -> DataFrame:
-    """representative of each name: of its component, the most mentioned, the first on a tie."""
+def fuzzy_merged(names: DataFrame, key: list[str], name: str, order: str, mentions: str, threshold: float = 0.78, rounds: int = 100) -> DataFrame:
+    """representative of each name: of its component, the most mentioned, the first on
+    a tie.  Smallest labels with pointer jumping, until none changes; an error if so
+    many rounds don't do."""
     pairs = fuzzy_pairs(names, key, name, order, threshold).select(*key, "ord_a", "ord_b")
     pairs = cut_off(pairs)
     both = pairs.unionByName(pairs.select(*key, F.col("ord_b").alias("ord_a"), F.col("ord_a").alias("ord_b")))
@@ -79,12 +81,14 @@ def fuzzy_merged(names: DataFrame, key: list[str], name: str, order: str, mentio
     for _ in range(rounds):
         near = both.join(labels, [both[k] == labels[k] for k in key] + [both["ord_b"] == labels["ord"]]).select(*[both[k] for k in key], both["ord_a"].alias("ord"), "label")
         lower = near.groupBy(*key, "ord").agg(F.min("label").alias("near"))
-        joined = labels.join(lower, [*key, "ord"], "left").select(*key, "ord", "label", F.least("label", F.coalesce("near", "label")).alias("new"))
-        joined = cut_off(joined)
-        changed = joined.filter("new <> label").limit(1).count()
-        labels = joined.select(*key, "ord", F.col("new").alias("label"))
-        if not changed:
+        joined = cut_off(labels.join(lower, [*key, "ord"], "left").select(*key, "ord", F.col("label").alias("was"), F.least("label", F.coalesce("near", "label")).alias("label")))
+        up = joined.select(*key, F.col("ord").alias("label"), F.col("label").alias("above"))
+        jumped = cut_off(joined.join(up, [*key, "label"]).select(*key, "ord", "was", F.least("label", "above").alias("label")))
+        labels = jumped.select(*key, "ord", "label")
+        if not jumped.filter("was <> label").limit(1).count():
             break
+    else:
+        raise RuntimeError(f"names still change components after {rounds} rounds")
     named = names.join(labels.withColumnRenamed("ord", order), [*key, order])
     best = Window.partitionBy(*key, "label").orderBy(F.desc(mentions), order)
     return named.withColumn("representative", F.first(name).over(best)).drop("label")

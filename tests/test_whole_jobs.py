@@ -1,10 +1,14 @@
 """Queries that must read all of their input, against brute force on small tables."""
 
+import random
 from collections import defaultdict
 from itertools import zip_longest
 
+import pytest
+
 from scriptorium.functions import kernels
 from scriptorium.llm import mixing, queries
+from scriptorium.operators import entities
 from scriptorium.plans import all as plans
 
 
@@ -40,4 +44,16 @@ def test_mixing_keeps_what_has_no_target(spark):
     for rest in ([r for r in found if r["lang"] not in queries.LANGUAGES], [r for r in found if r["source"] not in queries.SOURCES]):
         assert expected(rest) > 0.6 * share(rest)
     only = mixing.mixed(docs.filter("lang is null"), (queries.SOURCES, queries.LANGUAGES, queries.TOPIC_SHARES), queries.KEEP).collect()
-    assert only and all(r["_probability"] > 0 for r in only)
\ No newline at end of file
+    assert only and all(r["_probability"] > 0 for r in only)
+
+
+def test_fuzzy_merge_follows_long_chains(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789βγδζθκλμνξπρστφχψω"
+    chain = [letters[k : k + 9] for k in range(40)]  # neighbours have 8 of 9 letters in common, others 7 at most
+    order = random.Random(5).sample(range(40), 40)
+    for ords in (range(40), order):
+        names = spark.createDataFrame([("PER", n, o, 1) for n, o in zip(chain, ords, strict=True)], "type string, name string, ord int, mentions int")
+        found = entities.fuzzy_merged(names, ["type"], "name", "ord", "mentions").collect()
+        assert len(found) == 40 and {r["representative"] for r in found} == {chain[list(ords).index(0)]}
+    with pytest.raises(RuntimeError, match="rounds"):
+        entities.fuzzy_merged(names, ["type"], "name", "ord", "mentions", rounds=1)
