@@ -3,10 +3,11 @@
 Documents are encoded, dealt to shards of about shard_tokens ids by a hash of
 their row, and each shard is packed with an inverted index of its own: postings
 of BM25 weights by token id, with document frequencies counted over the whole
-corpus (at most one count for each id of the vocabulary).  A seed's window is
-filled with its best unused neighbours that fit; the next best is cut to fill
-the rest, and what is left of it seeds the next window.  Only the last window of
-a shard is padded.
+corpus (at most one count for each id of the vocabulary).  A seed asks with all of
+its terms, and its window is filled with its unused neighbours, best first; the
+last of them is cut to fill the rest, and what is left of it seeds the next window.
+Rows that share no term with the seed come, in order, only after all that do.  Only
+the last window of a shard is padded.
 
 Null text counts as empty: a document of the closing id alone.  Rows are packed
 one by one, repeated ones too, and null doc_ids stay null.  Very long documents
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from .base import staged
 from .tokens import blocks, tokenizer, tokenizer_path
 
-TERMS = 12  # of a seed's query
-NEIGHBOURS = 24  # that are tried for a window
+FIRST = 32  # neighbours that are sorted at once; the others when these don't fill the window
+FREQUENT = 8  # terms of more than one document in so many have their weights in a row by document
 K1, B = 1.2, 0.75
 
 
@@ -91,8 +92,7 @@ class Packer:
                 continue
             terms, counts = distinct(t, place)
             weight = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(t) / average))
-            best = np.argpartition(-weight, TERMS)[:TERMS] if len(terms) > TERMS else np.arange(len(terms))
-            self.queries.append(terms[best])
+            self.queries.append(terms)
             every.append(terms)
             owners.append(np.full(len(terms), k, np.int32))
             weights.append(weight.astype(np.float32))
@@ -100,19 +100,32 @@ class Packer:
             terms = np.concatenate(every)
             order = np.argsort(terms, kind="stable")
             self.owner, self.weight = np.concatenate(owners)[order], np.concatenate(weights)[order]
-            self.first = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(idf)))])
-
-    def neighbours(self, seed: int) -> list[int]:
-        """The best unused documents by BM25, then by row."""
+            documents = np.bincount(terms, minlength=len(idf))
+            self.first = np.concatenate([[0], np.cumsum(documents)])
+            frequent = np.flatnonzero(documents * FREQUENT > len(texts))
+            self.row = np.full(len(idf), -1)
+            self.row[frequent] = np.arange(len(frequent))
+            self.dense = np.zeros((len(frequent), len(texts)), np.float32)
+            for k, term in enumerate(frequent.tolist()):
+                a, b = self.first[term], self.first[term + 1]
+                self.dense[k, self.owner[a:b]] = self.weight[a:b]
+
+    def neighbours(self, seed: int) -> Iterator[int]:
+        """The unused documents that share a term with the seed, by BM25, then by row."""
+        terms = self.queries[seed]
+        rows = self.row[terms]
         scores = np.zeros(len(self.texts), np.float32)
-        for term in self.queries[seed].tolist():
+        for k in rows[rows >= 0].tolist():
+            scores += self.dense[k]
+        for term in terms[rows < 0].tolist():
             a, b = self.first[term], self.first[term + 1]
             scores[self.owner[a:b]] += self.weight[a:b]
         scores[~self.unused] = 0
         scores[seed] = 0
-        best = np.argpartition(-scores, NEIGHBOURS)[:NEIGHBOURS] if len(scores) > NEIGHBOURS else np.arange(len(scores))
-        best = best[scores[best] > 0]
-        return best[np.lexsort((best, -scores[best]))].tolist()
+        found = np.flatnonzero(scores > 0)
+        least = np.partition(scores[found], -FIRST)[-FIRST] if len(found) > FIRST else 0
+        for some in (found[scores[found] >= least], found[scores[found] < least]):
+            yield from some[np.lexsort((some, -scores[some]))].tolist()
 
     def pack(self) -> list[tuple[int, int, int, int, int]]:
         waiting = iter(np.flatnonzero(self.unused).tolist())
@@ -131,14 +144,14 @@ class Packer:
                 self.unused[k] = left[k] > 0
 
             place(seed)
-            cut, rest = (seed, []) if left[seed] else (None, self.neighbours(seed) if space else [])
-            for k in rest:
-                if left[k] <= space:
-                    place(k)
-                elif cut is None:
-                    cut = k
+            cut = seed if left[seed] else None
+            for k in self.neighbours(seed) if space else ():
+                place(k)
+                if not space:
+                    cut = k if left[k] else None
+                    break
             while space:
-                k = cut if cut is not None else next((k for k in waiting if self.unused[k]), None)
+                k = next((k for k in waiting if self.unused[k]), None)
                 if k is None:
                     break
                 place(k)

@@ -4,10 +4,11 @@ import random
 from collections import defaultdict
 from itertools import zip_longest
 
+import numpy as np
 import pytest
 
 from scriptorium.functions import kernels
-from scriptorium.llm import mixing, queries
+from scriptorium.llm import mixing, packing, queries
 from scriptorium.operators import entities
 from scriptorium.plans import all as plans
 
@@ -57,3 +58,20 @@ def test_fuzzy_merge_follows_long_chains(spark):
         assert len(found) == 40 and {r["representative"] for r in found} == {chain[list(ords).index(0)]}
     with pytest.raises(RuntimeError, match="rounds"):
         entities.fuzzy_merged(names, ["type"], "name", "ord", "mentions", rounds=1)
+
+
+def test_packer_takes_all_neighbours_before_unrelated_rows():
+    seed = np.arange(2, 32, dtype=np.uint16)  # 30 terms, none better than another
+    unrelated = [np.full(2, 40 + k % 8, np.uint16) for k in range(30)]
+    like = [np.array([2 + k % 30, 2 + k % 30], np.uint16) for k in range(60)]  # a term of the seed's each
+    pieces = packing.Packer([seed, *unrelated, *like], np.ones(64, np.float32), 3.0, 150).pack()
+    assert {p[0] for p in pieces if p[3] == 0} == {0, *range(31, 91)}
+    rng = np.random.default_rng(1)
+    texts = [rng.choice(60, rng.integers(3, 30)).astype(np.uint16) for _ in range(300)]
+    idf = rng.random(64).astype(np.float32) + 0.1
+    packer = packing.Packer(texts, idf, 15.0, 64)
+    weight = lambda t, x: idf[x] * (c := int((t == x).sum())) * (packing.K1 + 1) / (c + packing.K1 * (1 - packing.B + packing.B * len(t) / 15.0))
+    score = [sum(weight(t, x) for x in set(texts[7].tolist()) & set(t.tolist())) for t in texts]
+    ranked = list(packer.neighbours(7))
+    assert set(ranked) == {k for k, s in enumerate(score) if s > 0 and k != 7}
+    assert all(score[a] >= score[b] - 1e-4 for a, b in zip(ranked, ranked[1:]))
