@@ -204,10 +204,10 @@ def reading_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def dehyphenate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns cut into lines of 40 letters, every cut inside a word marked, made whole again."""
+    """Documents cut into lines of 40 letters, every cut inside a word marked, made whole again."""
     cut = F.regexp_replace("text", r"([^\n]{39})(?=\p{L})", "$1¬\n")
-    lines = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split(cut, "\n")).alias("line_ord", "text")).withColumn("kind", F.lit("Main"))
-    return spans.dehyphenated(lines, ["conv_id", "turn"]).select("conv_id", "turn", "line_ord", "joined", "carried")
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(cut, "\n")).alias("line_ord", "text")).withColumn("kind", F.lit("Main"))
+    return spans.dehyphenated(lines, ["doc_id"]).select("doc_id", "line_ord", "joined", "carried")
 
 
 @query()

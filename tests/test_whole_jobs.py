@@ -1,6 +1,7 @@
 """Queries that must read all of their input, against brute force on small tables."""
 
 import random
+import re
 from collections import defaultdict
 from itertools import zip_longest
 
@@ -75,3 +76,15 @@ def test_packer_takes_all_neighbours_before_unrelated_rows():
     ranked = list(packer.neighbours(7))
     assert set(ranked) == {k for k, s in enumerate(score) if s > 0 and k != 7}
     assert all(score[a] >= score[b] - 1e-4 for a, b in zip(ranked, ranked[1:]))
+
+
+def test_dehyphenate_reads_documents(spark, tmp_path):
+    texts = {1: "abcdefghij" * 9 + " fin", 2: "un\ndeux", 3: "mot " * 30}
+    spark.createDataFrame([*texts.items(), (4, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = plans.QUERIES["dehyphenate"](spark, str(tmp_path)).collect()
+    expected = []
+    for k, t in texts.items():
+        lines = re.sub(r"([^\n]{39})(?=[^\W\d_])", "\\1¬\n", t).split("\n")
+        joined, carried = kernels.rejoined(lines, ["Main"] * len(lines))
+        expected += [(k, i, j, i in carried) for i, j in enumerate(joined)]
+    assert sorted(map(tuple, found)) == sorted(expected) and any(r["carried"] for r in found)
