@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from .functions.labels import corners, label_parts, line_type, ncname, page_number, points, untyped
 from .functions.text import word_count
 from .operators import catalogue, containers, language, losses, notes, order
+from .operators.entities import cut_off
 from .sources import alto, catalogues, sinks
 
 
@@ -22,9 +24,13 @@ class Corpus:
     root: str
     books: str | None = None
 
+    @cached_property
+    def parsed(self) -> DataFrame:
+        """The pages as parsed, read once and kept (`cut_off`) for all relations."""
+        return cut_off(alto.pages(self.spark, self.root))
+
     def pages(self) -> DataFrame:
-        parsed = alto.pages(self.spark, self.root)
-        return order.page_order(parsed, ["doc"], "stem", "path").withColumn("page_id", ncname(F.col("stem")))
+        return order.page_order(self.parsed, ["doc"], "stem", "path").withColumn("page_id", ncname(F.col("stem")))
 
     def collisions(self) -> DataFrame:
         """Page numbers that a volume has twice."""
@@ -32,12 +38,11 @@ class Corpus:
 
     def zones(self) -> DataFrame:
         z = alto.zones(self.pages()).withColumn("l", label_parts(F.coalesce("label", F.lit("")))).withColumn("b", corners(F.col("x"), F.col("y"), F.col("w"), F.col("h")))
-        placed = z.select("doc", "stem", page_number(F.col("stem")).alias("num"), "zone_ord", "zone_id", untyped(F.col("l.main"), "TextBlock").alias("type"), "l.subtype", "l.n", "b.*", points(F.col("points")).alias("points"))
-        return order.occurrence(placed, ["doc", "stem", "zone_id"], ["zone_ord"], "dup")
+        placed = z.select("doc", "stem", "path", page_number(F.col("stem")).alias("num"), "zone_ord", "zone_id", untyped(F.col("l.main"), "TextBlock").alias("type"), "l.subtype", "l.n", "b.*", points(F.col("points")).alias("points"))
+        return order.occurrence(placed, ["doc", "path", "zone_id"], ["zone_ord"], "dup")
 
     def lines(self) -> DataFrame:
-        pages = self.pages().select("doc", "stem", "page_ord")
-        each = alto.lines(alto.pages(self.spark, self.root)).join(pages, ["doc", "stem"])
+        each = alto.lines(self.parsed).join(self.pages().select("doc", "path", "page_ord"), ["doc", "path"])
         typed = each.withColumn("zone_type", untyped(label_parts(F.coalesce("zone_label", F.lit("")))["main"], "TextBlock"))
         typed = typed.withColumn("line_type", line_type(untyped(label_parts(F.coalesce("line_label", F.lit("")))["main"], "TextLine")))
         w = Window.partitionBy("doc").orderBy("page_ord", "zone_ord", "line_ord")
@@ -48,9 +53,9 @@ class Corpus:
         return containers.containers(lines, containers.front_pages(lines, ["doc", "page_ord"], "zone_type"))
 
     def notes(self) -> DataFrame:
-        lines = self.lines().select("doc", "stem", "zone_type", F.col("line_id"), F.col("y").alias("top"), (F.col("y") + F.col("h")).alias("foot"), "text")
+        lines = self.lines().select("doc", "path", "zone_type", F.col("line_id"), F.col("y").alias("top"), (F.col("y") + F.col("h")).alias("foot"), "text")
         beside = lines.filter(F.col("zone_type") == containers.MARGIN).withColumnRenamed("line_id", "note_id")
-        return notes.note_links(beside, lines.filter(F.col("zone_type").startswith("Main")), ["doc", "stem"])
+        return notes.note_links(beside, lines.filter(F.col("zone_type").startswith("Main")), ["doc", "path"])
 
     def usage(self) -> DataFrame:
         """Words by language and their share, without the apparatus."""
@@ -59,7 +64,7 @@ class Corpus:
 
     def extent(self) -> DataFrame:
         text = self.lines().filter(~F.col("zone_type").isin(containers.APPARATUS))
-        return text.groupBy("doc").agg(F.sum(word_count(F.col("text"))).alias("words"), F.countDistinct("stem").alias("pages"))
+        return text.groupBy("doc").agg(F.sum(word_count(F.col("text"))).alias("words"), F.countDistinct("path").alias("pages"))
 
     def losses(self) -> DataFrame:
         """Pages that can't be read, against all pages of the volume."""

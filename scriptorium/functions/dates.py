@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNSURE = r"(?i)\?|\b(ca|circa|vers|env|environ)\b"
+#: Words that make a date an estimate, and those that only introduce one (fixed values).
+ESTIMATES = "ca", "circa", "vers", "env", "environ"
+INTRODUCERS = r"l\s*['’]\s*an", "en", "le", "la", "anno", "aetatis", *ESTIMATES
+UNSURE = rf"(?i)\?|\b({'|'.join(ESTIMATES)})\b"
 #: Values of the Roman numerals (fixed).
 ROMAN = {"I": 1, "V": 5, "X": 10, "L": 50, "C": 100, "D": 500, "M": 1000}
-CANONICAL = r"^M{0,3}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})$"
+
+
+def _numeral(one: str, five: str, ten: str) -> str:
+    """One decimal place of a canonical numeral: 9, 4 or the rest."""
+    return f"({one}{ten}|{one}{five}|{five}?{one}{{0,3}})"
+
+
+CANONICAL = "^M{0,3}" + "".join(map(_numeral, "CXI", "DLV", "MCX")) + "$"
 
 
 def is_uncertain(cell: Column) -> Column:
@@ -17,21 +27,20 @@ def is_uncertain(cell: Column) -> Column:
 
 def date_attributes(cell: Column) -> Column:
     """struct(when, not_before, not_after, cert) of a cell, by its number of digits:
-    8 and 6 are dates, 4 a year, 1 to 3 the years they begin; with a leading minus
-    the year is what stands before month and day.  Impossible dates and the year 0
-    give nulls; doubt gives cert low, as does a cut year."""
+    8 and 6 are dates, 4 a year, 1 to 3 the years they begin.  After a leading minus
+    5 to 8 digits are a date whose last four are month and day.  Impossible dates and
+    the year 0 give nulls; doubt gives cert low, as does a cut year."""
     digits = F.regexp_replace(F.coalesce(cell, F.lit("")), r"\D", "")
     n = F.length(digits)
-    before = F.coalesce(F.regexp_replace(cell, "^[? ]+", "").startswith("-"), F.lit(False))
+    before = F.coalesce(F.regexp_replace(F.trim(cell), "^[? ]+", "").startswith("-"), F.lit(False))
     dated = n.isin(6, 8) | (before & n.between(5, 8))
-    day_digits = F.when(before, n >= 7).otherwise(n == 8)
-    tail = F.when(day_digits, 4).otherwise(2)
-    year = F.substring(digits, F.lit(1), n - tail)
-    month = F.substring(digits, n - tail + 1, F.lit(2)).try_cast("int")
-    day = F.when(day_digits, F.substring(digits, n - 1, F.lit(2)).try_cast("int"))
+    with_day = before | (n == 8)
+    tail = F.when(with_day, 4).otherwise(2)
+    month = F.substring(digits, n - tail + 1, F.lit(2))
+    day = F.when(with_day, F.substring(digits, n - 1, F.lit(2)))
     sign = F.when(before, F.lit("-")).otherwise(F.lit(""))
-    possible = month.between(1, 12) & (day.isNull() | (day.between(1, 31))) & (year.try_cast("int") > 0)
-    full = F.concat(sign, F.lpad(year, 4, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.when(day.isNotNull(), F.concat(F.lit("-"), F.lpad(day.cast("string"), 2, "0"))).otherwise(F.lit("")))
+    possible = month.try_cast("int").between(1, 12) & (day.isNull() | day.try_cast("int").between(1, 31))
+    full = F.concat(sign, F.lpad(F.substring(digits, F.lit(1), n - tail), 4, "0"), F.lit("-"), F.concat_ws("-", month, day))
     value = digits.try_cast("int")
     span = F.pow(F.lit(10), 4 - n).cast("int")
     padded = lambda v: F.concat(sign, F.lpad(v.cast("string"), 4, "0"))
@@ -63,7 +72,19 @@ def roman_year(text: Column) -> Column:
     return F.when(bare.rlike(CANONICAL) & (bare != ""), F.when(total.between(1000, 2100), total))
 
 
+def text_date(text: Column) -> Column:
+    """struct(when, cert) of a passage that is a year and nothing else but words that
+    introduce it: a canonical numeral or four digits, which are then read as a cell."""
+    bare = F.trim(F.regexp_replace(text, r"""^[.,;:()\[\]«»?"'\s]+|[.,;:()\[\]«»?"'\s]+$""", ""))
+    bare = F.trim(F.regexp_replace(bare, rf"(?i)^[?\s]*({'|'.join(INTRODUCERS)})\b[\s.]*", ""))
+    numeral, cell = roman_year(bare), date_attributes(text)
+    digits = bare.rlike(r"^-?\d{4}$")
+    return F.struct(
+        F.when(numeral.isNotNull(), F.lpad(numeral.cast("string"), 4, "0")).when(digits, cell["when"]).alias("when"),
+        F.when(numeral.isNotNull(), F.when(is_uncertain(text), F.lit("low"))).when(digits, cell["cert"]).alias("cert"),
+    )
+
+
 def text_year(text: Column) -> Column:
-    """The year that a passage names after its introducers, in either kind of numeral."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?i)^\s*(l'an|en|anno|in|de)\s+", ""), r"[,;:()\[\]]", ""))
-    return F.coalesce(roman_year(bare), F.when(bare.rlike(r"^-?\d{4}$"), bare.try_cast("int")))
+    """The year that a passage names, as a number."""
+    return text_date(text)["when"].try_cast("int")

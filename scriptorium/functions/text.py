@@ -54,9 +54,13 @@ def band(score: Column, bands: Sequence[tuple[float, str]]) -> Column:
     return out
 
 
+def outgrown_by(before: Column, after: Column) -> Column:
+    """A reading of so many words that has too many for its line."""
+    return after > before * 1.5 + 2
+
+
 def outgrown(before: Column, after: Column) -> Column:
-    """A reading that has too many words for its line."""
-    return word_count(after) > word_count(before) * 1.5 + 2
+    return outgrown_by(word_count(before), word_count(after))
 
 
 def cleaned(c: Column) -> Column:

@@ -17,25 +17,31 @@ class Rules:
     lang: str
     letters: str
     words: tuple[str, ...]
-    endings: str
+    endings: tuple[str, ...]  # none of which can begin inside another
 
 
 #: Own rules, in the order that breaks ties.
 RULES = (
-    Rules("fr", "éèêçàù", ("le", "la", "les", "des", "du", "dans", "que", "est", "une", "et"), r"(?:eux|eau|ment|ier)"),
-    Rules("de", "äöüß", ("der", "die", "das", "und", "ist", "nicht", "mit", "ein", "zu", "auf"), r"(?:ung|lich|sch|keit)"),
-    Rules("es", "ñóíá", ("el", "los", "las", "por", "con", "una", "del", "no", "se", "su"), r"(?:ción|ado|mente|ar)"),
-    Rules("en", "w", ("the", "and", "of", "to", "is", "that", "for", "was", "with", "are"), r"(?:tion|ing|ed|ly)"),
+    Rules("fr", "éèêçàù", ("le", "la", "les", "des", "du", "dans", "que", "est", "une", "et"), ("eux", "eau", "ment", "ier")),
+    Rules("de", "äöüß", ("der", "die", "das", "und", "ist", "nicht", "mit", "ein", "zu", "auf"), ("ung", "lich", "sch", "keit")),
+    Rules("es", "ñóíá", ("el", "los", "las", "por", "con", "una", "del", "no", "se", "su"), ("ción", "ado", "mente", "ar")),
+    Rules("en", "w", ("the", "and", "of", "to", "is", "that", "for", "was", "with", "are"), ("tion", "ing", "ed", "ly")),
 )
 LEAST = 2.0
 
 
+def times(text: Column, part: str) -> Column:
+    """How often part stands in the text, by what its removal shortens; a scan of
+    bytes, where counting by a pattern builds an array of all matches."""
+    return (F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
+
+
 def rule_score(text: Column, rules: Rules) -> Column:
     """A language's points; w is too common for three points, so one letter alone counts a tenth."""
     low = F.lower(text)
-    words = F.array_distinct(F.split(low, r"[^\p{L}]+"))
     weight = 3.0 if len(rules.letters) > 1 else 0.1
-    return F.regexp_count(low, F.lit(f"[{rules.letters}]")) * weight + F.size(F.array_intersect(words, F.array(*map(F.lit, rules.words)))) + F.regexp_count(low, F.lit(rules.endings)) * 1.5
+    words = F.size(F.array_intersect(F.split(low, r"[^\p{L}]+"), F.array(*map(F.lit, rules.words))))
+    return (F.length(low) - F.length(F.translate(low, rules.letters, ""))) * weight + words + sum((times(low, e) for e in rules.endings), F.lit(0.0)) * 1.5
 
 
 def heuristic(text: Column, rules: tuple[Rules, ...] = RULES) -> Column:

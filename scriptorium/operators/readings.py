@@ -31,9 +31,12 @@ def graded(lines: DataFrame, sent_text: str, reading: str, carried: str) -> Data
     outgrown the line or is below the last band, else graded by similarity; the word
     that a line carried over is dropped."""
     before, after = F.col(sent_text), F.col(reading)
-    scored = lines.withColumn("similarity", kernels.ratio(before, after))
-    status = F.when(after.isNull(), "missing").when(after == before, "unchanged").when(outgrown(before, after) | (F.col("similarity") < BANDS[-1][0]), "diverged").otherwise("graded")
-    shown = F.when(F.col(carried), drop_carried_word(after)).otherwise(after)
-    scored = scored.withColumn("status", status)
+    known = F.when(after.isNull(), "missing").when(after == before, "unchanged").when(outgrown(before, after), "diverged")
+    first = lines.withColumn("status", known)
+    open_ = F.col("status").isNull()  # only these need the matcher
+    scored = first.withColumn("similarity", kernels.ratio(F.when(open_, before), F.when(open_, after)))
+    near = F.when(F.col("similarity") < BANDS[-1][0], "diverged").otherwise("graded")
+    scored = scored.withColumn("status", F.coalesce("status", near))
     is_graded = F.col("status") == "graded"
+    shown = F.when(F.col(carried), drop_carried_word(after)).otherwise(after)
     return scored.withColumn("text", F.when(is_graded, shown)).withColumn("cert", F.when(is_graded, band(F.col("similarity"), BANDS)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
 from ..functions import kernels
 
@@ -76,13 +76,11 @@ def pos_reason(pos: Column, lemmas: Column, person: Column) -> Column:
 
 def without_overlaps(spans: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The spans (start, stop, confidence) of each container that a greedy choice by
-    confidence accepts; order breaks ties."""
-
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable").reset_index(drop=True)
-        return rows.iloc[sorted(kernels.disjoint(list(zip(rows["start"], rows["stop"], rows["confidence"], strict=True))))]
-
-    return spans.groupBy(*key).applyInPandas(choose, spans.schema)
+    confidence accepts; order breaks ties.  A row a container goes to the kernel."""
+    rest = [c for c in spans.columns if c not in key and c not in order]
+    gathered = spans.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("_s"))
+    kept = gathered.select(*key, F.transform(kernels.chosen("_s.start", "_s.stop", "_s.confidence"), lambda i: F.get("_s", i)).alias("_s"))
+    return kept.select(*key, F.inline("_s")).select(*spans.columns)
 
 
 def overlap_candidates(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
@@ -115,14 +113,10 @@ def merged_models(left: DataFrame, right: DataFrame, key: list[str]) -> DataFram
 
 def dehyphenated(lines: DataFrame, key: list[str]) -> DataFrame:
     """lines: line_ord, kind, text.  joined and carried for each line, by document."""
-
-    def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("line_ord")
-        texts, carried = kernels.rejoined(rows["text"].tolist(), rows["kind"].tolist())
-        return rows.assign(joined=texts, carried=[i in carried for i in range(len(rows))])
-
-    schema = StructType(list(lines.schema.fields)).add("joined", StringType()).add("carried", BooleanType())
-    return lines.groupBy(*key).applyInPandas(join, schema)
+    rest = [c for c in lines.columns if c not in (*key, "line_ord")]
+    gathered = lines.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("line_ord", *rest))).alias("_l"))
+    both = gathered.select(*key, F.arrays_zip("_l", kernels.rejoin("_l.text", "_l.kind").alias("_j")).alias("_z"))
+    return both.select(*key, F.explode("_z").alias("_z")).select(*[f"_z._l.{c}" if c not in key else c for c in lines.columns], "_z._j.joined", "_z._j.carried")
 
 
 def span_words(spans: DataFrame, words: DataFrame, key: list[str]) -> DataFrame:

@@ -19,7 +19,7 @@ def duplicate_ids(elements: DataFrame, key: list[str], id_: str) -> DataFrame:
 def dangling(pointers: DataFrame, key: list[str], cell: str, ids: DataFrame, id_: str) -> DataFrame:
     """Local pointers '#a #b' to ids that don't exist."""
     each = pointers.select(*key, F.explode(F.split(F.trim(cell), r"\s+")).alias("pointer")).filter(F.col("pointer").startswith("#"))
-    each = each.withColumn("target", F.substring("pointer", 2, 1_000_000))
+    each = each.withColumn("target", F.expr("substring(pointer, 2)"))
     known = ids.select(*key, F.col(id_).alias("target")).distinct()
     return each.join(known, [*key, "target"], "left_anti").select(*key, "target")
 

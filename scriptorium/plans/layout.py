@@ -134,12 +134,12 @@ def _model_sides(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 @query("""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 2 ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord,
-  list_distinct([(l_partkey + i) % 7 FOR i IN range(0, 4)]) AS words FROM lineitem WHERE l_orderkey % 5 = 0)
+  list_distinct([(l_partkey + i) % 7 FOR i IN range(0, 4)]) AS words FROM lineitem)
 SELECT x.l_orderkey, CAST(x.ord AS INTEGER) AS a, CAST(y.ord AS INTEGER) AS b, CAST(len(list_intersect(x.words, y.words)) AS INTEGER) AS common,
   round(len(list_intersect(x.words, y.words)) / len(list_distinct(list_concat(x.words, y.words)))::DOUBLE, 6) AS jaccard
 FROM l x JOIN l y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey % 2 = 0 AND y.l_suppkey % 2 = 1 WHERE len(list_intersect(x.words, y.words)) > 0""")
 def merge_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = (side.filter("l_orderkey % 5 = 0") for side in _model_sides(spark, sf_dir))  # as its SQL has it
+    a, b = _model_sides(spark, sf_dir)
     return spans.overlap_candidates(a.select("l_orderkey", F.col("ord").alias("a"), "words"), b.select("l_orderkey", F.col("ord").alias("b"), "words"), ["l_orderkey"])
 
 
@@ -214,16 +214,17 @@ def person_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.listed(rows, "c_custkey", "cell", nations, "code", "n_name").select("c_custkey", F.array_join("names", ";").alias("names"))
 
 
-@query("""WITH o AS (SELECT o_orderkey, o_orderkey % 6 AS k, strftime(o_orderdate, '%Y') AS y, strftime(o_orderdate, '%m') AS m, strftime(o_orderdate, '%d') AS d FROM orders)
-SELECT o_orderkey, CASE k WHEN 0 THEN y || '-' || m || '-' || d WHEN 1 THEN y || '-' || m WHEN 2 THEN y WHEN 4 THEN y || '-' || m || '-' || d END AS when_,
+@query("""WITH o AS (SELECT o_orderkey, o_orderkey % 8 AS k, strftime(o_orderdate, '%Y') AS y, strftime(o_orderdate, '%m') AS m, strftime(o_orderdate, '%d') AS d FROM orders)
+SELECT o_orderkey, CASE k WHEN 0 THEN y || '-' || m || '-' || d WHEN 1 THEN y || '-' || m WHEN 2 THEN y WHEN 4 THEN y || '-' || m || '-' || d WHEN 6 THEN '-00' || substr(y, 3) || '-' || m || '-' || d WHEN 7 THEN '-000' || substr(y, 4) || '-' || m || '-' || d END AS when_,
   CASE k WHEN 3 THEN substr(y, 1, 3) || '0' WHEN 5 THEN '-' || substr(y, 1, 3) || '9' END AS not_before, CASE k WHEN 3 THEN substr(y, 1, 3) || '9' WHEN 5 THEN '-' || substr(y, 1, 3) || '0' END AS not_after,
   CASE WHEN k IN (3, 4, 5) THEN 'low' END AS cert FROM o""")
 def date_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 6
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 8
     year = F.date_format(d, "yyyy")
     cell = (
         F.when(k == 0, F.date_format(d, "yyyy/MM/dd")).when(k == 1, F.date_format(d, "yyyyMM")).when(k == 2, year).when(k == 3, F.substring(year, 1, 3))
-        .when(k == 4, F.concat(F.lit("ca. "), F.date_format(d, "yyyyMMdd"))).otherwise(F.concat(F.lit("-"), F.substring(year, 1, 3)))
+        .when(k == 4, F.concat(F.lit("ca. "), F.date_format(d, "yyyyMMdd"))).when(k == 5, F.concat(F.lit("-"), F.substring(year, 1, 3)))
+        .when(k == 6, F.concat(F.lit("-"), F.substring(year, 3, 2), F.date_format(d, "MMdd"))).otherwise(F.concat(F.lit("-"), F.substring(year, 4, 1), F.date_format(d, "MMdd")))
     )
     return table(spark, sf_dir, "orders").select("o_orderkey", dates.date_attributes(cell).alias("a")).select("o_orderkey", F.col("a.when").alias("when_"), "a.not_before", "a.not_after", "a.cert")
 
@@ -233,10 +234,11 @@ def cert_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", text.band(F.col("l_discount"), [(0.08, "high"), (0.04, "medium"), (0.02, "low")]).alias("cert"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25)")
 def unfigured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return validate.without_figure(table(spark, sf_dir, "customer").select("c_custkey"), ordered, ["c_custkey"])
+    """Lines whose part is none of the small ones."""
+    small = table(spark, sf_dir, "part").filter("p_size < 25").select(F.col("p_partkey").alias("l_partkey"))
+    return validate.without_figure(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), small, ["l_partkey"]).select("l_orderkey", "l_linenumber")
 
 
 @query("""WITH r AS (SELECT page_id, '#p' || (page_id * 7 % 400) || ' #p' || page_id || ' /x' AS cell FROM pages), e AS (SELECT page_id, unnest(string_split(cell, ' ')) AS t FROM r)
@@ -346,8 +348,13 @@ def role_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.persons_of(cells, "c_custkey", ["a", "b"]).select("c_custkey", F.concat(F.lit("["), F.array_join("persons", ", "), F.lit("]")).alias("persons"))
 
 
-@query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 1659 WHEN 1 THEN 1724 WHEN 2 THEN NULL WHEN 3 THEN 1700 + c_nationkey ELSE NULL END AS year FROM customer""")
+@query("""SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN '1659' WHEN 1 THEN '1724' WHEN 3 THEN (1700 + c_nationkey)::VARCHAR WHEN 5 THEN (1600 + c_nationkey)::VARCHAR END AS when_,
+CASE c_custkey % 7 WHEN 5 THEN 'low' END AS cert FROM customer""")
 def text_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey") % 5
-    said = F.when(k == 0, F.lit("M.DC.LIX")).when(k == 1, F.lit("l'an MDCCXXIV,")).when(k == 2, F.lit("MDCLIIII")).when(k == 3, F.concat(F.lit("en "), (F.col("c_nationkey") + 1700).cast("string"))).otherwise(F.lit("anno 59"))
-    return table(spark, sf_dir, "customer").select("c_custkey", dates.text_year(said).alias("year"))
+    k = F.col("c_custkey") % 7
+    year = lambda century: (F.col("c_nationkey") + century).cast("string")
+    said = (
+        F.when(k == 0, F.lit("M.DC.LIX")).when(k == 1, F.lit("l'an MDCCXXIV,")).when(k == 2, F.lit("MDCLIIII")).when(k == 3, F.concat(F.lit("(en "), year(1700), F.lit(".)")))
+        .when(k == 4, F.lit("le 23 juin 1652")).when(k == 5, F.concat(F.lit("vers "), year(1600))).otherwise(F.lit("anno 59"))
+    )
+    return table(spark, sf_dir, "customer").select("c_custkey", dates.text_date(said).alias("d")).select("c_custkey", F.col("d.when").alias("when_"), "d.cert")

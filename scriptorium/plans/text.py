@@ -15,7 +15,7 @@ def _score(r: language.Rules, low: str) -> str:
     weight = 3.0 if len(r.letters) > 1 else 0.1
     return (
         f"len(regexp_extract_all({low}, '[{r.letters}]')) * {weight}::DOUBLE + len(list_filter([{words}], lambda w: list_contains(regexp_split_to_array({low}, '[^\\p{{L}}]+'), w)))"
-        f" + len(regexp_extract_all({low}, '{r.endings}')) * 1.5::DOUBLE"
+        f" + len(regexp_extract_all({low}, '{'|'.join(r.endings)}')) * 1.5::DOUBLE"
     )
 
 
@@ -180,9 +180,11 @@ def historical_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH p AS (SELECT doc_id, text, lead(text) OVER (PARTITION BY source ORDER BY doc_id) AS reading FROM documents)
 SELECT doc_id, {WORDS_SQL.format('reading')} > {WORDS_SQL.format('text')} * 1.5 + 2 AS outgrown FROM p WHERE reading IS NOT NULL""")
 def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nxt = F.lead("text").over(Window.partitionBy("source").orderBy("doc_id"))
-    pairs = table(spark, sf_dir, "documents").select("doc_id", "text", nxt.alias("reading")).filter(F.col("reading").isNotNull())
-    return pairs.select("doc_id", text.outgrown(F.col("text"), F.col("reading")).alias("outgrown"))
+    """By the words of a document and of the next one of its source: counts are shuffled, never texts."""
+    counted = table(spark, sf_dir, "documents").select("doc_id", "source", F.when(F.col("text").isNotNull(), text.word_count(F.col("text"))).alias("words"))
+    after = F.lead("words").over(Window.partitionBy("source").orderBy("doc_id"))
+    pairs = counted.select("doc_id", "words", after.alias("reading_words")).filter("reading_words is not null")
+    return pairs.select("doc_id", text.outgrown_by(F.col("words"), F.col("reading_words")).alias("outgrown"))
 
 
 @query("SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, len(regexp_extract_all(line, '\\p{L}')) >= 3 AS sendable, md5(regexp_replace(line, '^\\s*\\S+\\s*', '')) AS rest FROM (" + LINES + ")")
@@ -205,9 +207,9 @@ def reading_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def dehyphenate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cut into lines of 40 letters, every cut inside a word marked, made whole again."""
-    cut = F.regexp_replace("text", r"([^\n]{39})(?=\p{L})", "$1¬\n")
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(cut, "\n")).alias("line_ord", "text")).withColumn("kind", F.lit("Main"))
-    return spans.dehyphenated(lines, ["doc_id"]).select("doc_id", "line_ord", "joined", "carried")
+    cut = F.split(F.regexp_replace("text", r"([^\n]{39})(?=\p{L})", "$1¬\n"), "\n")
+    whole = table(spark, sf_dir, "documents").filter(F.col("text").isNotNull()).select("doc_id", kernels.rejoin(cut, F.transform(cut, lambda _: F.lit("Main"))).alias("lines"))
+    return whole.select("doc_id", F.posexplode("lines").alias("line_ord", "l")).select("doc_id", "line_ord", "l.joined", "l.carried")
 
 
 @query()

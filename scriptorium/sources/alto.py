@@ -117,13 +117,13 @@ def pages(spark: SparkSession, root: str) -> DataFrame:
 
 
 def zones(pages_: DataFrame) -> DataFrame:
-    """doc, stem, zone_ord, zone_id, label, points, x, y, w, h."""
-    z = pages_.select("doc", "stem", "labels", F.explode("zones").alias("z"))
-    return z.select("doc", "stem", "z.zone_ord", F.col("z.id").alias("zone_id"), F.try_element_at("labels", "z.tag").alias("label"), "z.points", "z.x", "z.y", "z.w", "z.h")
+    """doc, stem, path, zone_ord, zone_id, label, points, x, y, w, h."""
+    z = pages_.select("doc", "stem", "path", "labels", F.explode("zones").alias("z"))
+    return z.select("doc", "stem", "path", "z.zone_ord", F.col("z.id").alias("zone_id"), F.try_element_at("labels", "z.tag").alias("label"), "z.points", "z.x", "z.y", "z.w", "z.h")
 
 
 def lines(pages_: DataFrame) -> DataFrame:
-    """doc, stem, zone_ord, zone_id, zone_label, line_ord, line_id, line_label, text, box."""
-    z = pages_.select("doc", "stem", "labels", F.explode("zones").alias("z"))
-    each = z.select("doc", "stem", "labels", "z.zone_ord", F.col("z.id").alias("zone_id"), F.try_element_at("labels", "z.tag").alias("zone_label"), F.explode("z.lines").alias("l"))
-    return each.select("doc", "stem", "zone_ord", "zone_id", "zone_label", "l.line_ord", F.col("l.id").alias("line_id"), F.try_element_at("labels", "l.tag").alias("line_label"), "l.text", "l.baseline", "l.points", "l.x", "l.y", "l.w", "l.h")
+    """doc, stem, path, zone_ord, zone_id, zone_label, line_ord, line_id, line_label, text, box."""
+    z = pages_.select("doc", "stem", "path", "labels", F.explode("zones").alias("z"))
+    each = z.select("doc", "stem", "path", "labels", "z.zone_ord", F.col("z.id").alias("zone_id"), F.try_element_at("labels", "z.tag").alias("zone_label"), F.explode("z.lines").alias("l"))
+    return each.select("doc", "stem", "path", "zone_ord", "zone_id", "zone_label", "l.line_ord", F.col("l.id").alias("line_id"), F.try_element_at("labels", "l.tag").alias("line_label"), "l.text", "l.baseline", "l.points", "l.x", "l.y", "l.w", "l.h")

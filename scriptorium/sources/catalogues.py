@@ -26,16 +26,16 @@ def persons(spark: SparkSession, path: str, key: str = "BDD") -> DataFrame:
 
 
 def image_map(spark: SparkSession, path: str) -> DataFrame:
-    """url and file of a map without a header: first and third column."""
+    """url, file and place of a map without a header: first and third column."""
     rows = spark.read.option("header", "false").option("inferSchema", "false").csv(path)
     if len(rows.columns) < 3:
         raise ValueError(f"{path} has fewer than three columns")
-    return rows.select(F.trim("_c0").alias("url"), F.trim("_c2").alias("file"))
+    return rows.select(F.trim("_c0").alias("url"), F.trim("_c2").alias("file"), F.monotonically_increasing_id().alias("file_ord"))
 
 
 def map_fit(image_map_: DataFrame, pages: DataFrame, page: str, sample: int = 100) -> DataFrame:
     """Share of the map's first rows whose file is a page; over 0.3 is accepted."""
-    head = image_map_.select(F.regexp_replace("file", r"\.xml$", "").alias("_f")).limit(sample)
+    head = image_map_.select(F.regexp_replace("file", r"\.xml$", "").alias("_f"), "file_ord").orderBy("file_ord").limit(sample)
     known = pages.select(F.regexp_replace(page, r"\.xml$", "").alias("_f")).distinct().withColumn("_hit", F.lit(1))
     return head.join(known, "_f", "left").agg(F.coalesce(F.avg(F.coalesce("_hit", F.lit(0))), F.lit(0.0)).alias("rate")).withColumn("accepted", F.col("rate") > 0.3)
 

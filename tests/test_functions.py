@@ -28,7 +28,7 @@ def test_label_parts(spark, label, parts):
     [
         ("1659/03/12", "1659-03-12", None, None, None), ("165903", "1659-03", None, None, None), ("1659", "1659", None, None, None), ("159", None, "1590", "1599", "low"),
         ("-159", None, "-1599", "-1590", "low"), ("0000", None, None, None, None), ("ca. 1659", "1659", None, None, "low"), ("1659/13/01", None, None, None, None),
-        ("-0440715", "-0044-07-15", None, None, None), ("?", None, None, None, None), ("12345", None, None, None, None),
+        ("-0440715", "-0044-07-15", None, None, None), ("-430320", "-0043-03-20", None, None, None), ("-43/03/20", "-0043-03-20", None, None, None), ("-70101", "-0007-01-01", None, None, None), ("?", None, None, None, None), ("12345", None, None, None, None),
     ],
 )
 def test_date_cells(spark, cell, when, before, after, cert):
@@ -36,11 +36,17 @@ def test_date_cells(spark, cell, when, before, after, cert):
     assert (r["when"], r["not_before"], r["not_after"], r["cert"]) == (when, before, after, cert)
 
 
-@pytest.mark.parametrize("said, year", [("M.DC.LIX", 1659), ("MDCLIIII", None), ("MIL", None), ("mdclix", None), ("MDCCXXIV", 1724), ("CC", None), ("l'an 1660,", 1660), ("anno 59", None)])
+@pytest.mark.parametrize("said, year", [("M.DC.LIX", 1659), ("MDCLIIII", None), ("MIL", None), ("mdclix", None), ("MDCCXXIV", 1724), ("CC", None), ("l'an 1660,", 1660), ("anno 59", None), ("vers 1650", 1650), ("(env. 1650)", 1650), ("le 23 juin 1652", None), (None, None)])
 def test_years_in_text(spark, said, year):
     assert one(spark, dates.text_year(F.col("t")), t=said) == year
 
 
+def test_estimates_in_text_are_unsure(spark):
+    for said in ("vers 1650", "environ 1650", "env. 1650", "ca. 1650", "circa 1650", "? 1650", "vers MDCL"):
+        assert tuple(one(spark, dates.text_date(F.col("t")), t=said)) == ("1650", "low")
+    assert tuple(one(spark, dates.text_date(F.col("t")), t="en 1659.")) == ("1659", None)
+
+
 def test_uuid5_is_the_standard_one(spark):
     space = uuid.UUID("12345678-1234-5678-1234-567812345678")
     for name in ("", "abc", "éß☃", "x" * 300):
@@ -70,6 +76,9 @@ def test_chains_of_broken_words():
     assert kernels.rejoined(["aaa bb¬", "cc dd¬", "ee"], ["m"] * 3) == (["aaa bbcc", "bbcc ddee", "ddee"], {1, 2})
     assert kernels.rejoined(["aa¬", "note", "bb c"], ["m", "n", "m"]) == (["aabb", "note", "aabb c"], {2})
     assert kernels.rejoined(["aa¬", "", "bb"], ["m"] * 3) == (["aa¬", "", "bb"], set())
+    assert kernels.rejoined(["aa¬", "bb¬", "", "c¬", "d"], ["m"] * 5) == (["aa¬", "bb¬", "", "cd", "cd"], {4})
+    assert kernels.rejoined(["a b-", "c-"], ["m"] * 2) == (["a b-", "c-"], set())
+    assert kernels.rejoined([], []) == ([], set())
 
 
 @given(st.text(max_size=30), st.text(max_size=30))

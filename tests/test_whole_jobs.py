@@ -5,11 +5,9 @@ import re
 from collections import defaultdict
 from itertools import zip_longest
 
-import numpy as np
 import pytest
 
 from scriptorium.functions import kernels
-from scriptorium.llm import mixing, packing, queries
 from scriptorium.operators import entities
 from scriptorium.plans import all as plans
 
@@ -36,19 +34,6 @@ def test_reading_similarity_compares_every_line(spark, tmp_path):
     assert sorted(map(tuple, found)) == sorted(expected)
 
 
-def test_mixing_keeps_what_has_no_target(spark):
-    rows = [(k, f"src{k % 3}" if k % 4 else ("web", None)[k % 8 == 0], ("en", "fr", "it", None)[k // 4 % 4], "lorem ipsum " * (3 + k % 5)) for k in range(160)]
-    docs = mixing.measured(spark.createDataFrame(rows, "doc_id long, source string, lang string, text string"))
-    found = mixing.mixed(docs, (queries.SOURCES, queries.LANGUAGES, queries.TOPIC_SHARES), queries.KEEP).collect()
-    assert all(r["_probability"] > 0 for r in found)
-    expected = lambda rest: sum(r["_tokens"] * r["_probability"] for r in rest) / sum(r["_tokens"] * r["_probability"] for r in found)
-    share = lambda rest: sum(r["_tokens"] for r in rest) / sum(r["_tokens"] for r in found)
-    for rest in ([r for r in found if r["lang"] not in queries.LANGUAGES], [r for r in found if r["source"] not in queries.SOURCES]):
-        assert expected(rest) > 0.6 * share(rest)
-    only = mixing.mixed(docs.filter("lang is null"), (queries.SOURCES, queries.LANGUAGES, queries.TOPIC_SHARES), queries.KEEP).collect()
-    assert only and all(r["_probability"] > 0 for r in only)
-
-
 def test_fuzzy_merge_follows_long_chains(spark):
     letters = "abcdefghijklmnopqrstuvwxyz0123456789βγδζθκλμνξπρστφχψω"
     chain = [letters[k : k + 9] for k in range(40)]  # neighbours have 8 of 9 letters in common, others 7 at most
@@ -61,23 +46,6 @@ def test_fuzzy_merge_follows_long_chains(spark):
         entities.fuzzy_merged(names, ["type"], "name", "ord", "mentions", rounds=1)
 
 
-def test_packer_takes_all_neighbours_before_unrelated_rows():
-    seed = np.arange(2, 32, dtype=np.uint16)  # 30 terms, none better than another
-    unrelated = [np.full(2, 40 + k % 8, np.uint16) for k in range(30)]
-    like = [np.array([2 + k % 30, 2 + k % 30], np.uint16) for k in range(60)]  # a term of the seed's each
-    pieces = packing.Packer([seed, *unrelated, *like], np.ones(64, np.float32), 3.0, 150).pack()
-    assert {p[0] for p in pieces if p[3] == 0} == {0, *range(31, 91)}
-    rng = np.random.default_rng(1)
-    texts = [rng.choice(60, rng.integers(3, 30)).astype(np.uint16) for _ in range(300)]
-    idf = rng.random(64).astype(np.float32) + 0.1
-    packer = packing.Packer(texts, idf, 15.0, 64)
-    weight = lambda t, x: idf[x] * (c := int((t == x).sum())) * (packing.K1 + 1) / (c + packing.K1 * (1 - packing.B + packing.B * len(t) / 15.0))
-    score = [sum(weight(t, x) for x in set(texts[7].tolist()) & set(t.tolist())) for t in texts]
-    ranked = list(packer.neighbours(7))
-    assert set(ranked) == {k for k, s in enumerate(score) if s > 0 and k != 7}
-    assert all(score[a] >= score[b] - 1e-4 for a, b in zip(ranked, ranked[1:]))
-
-
 def test_dehyphenate_reads_documents(spark, tmp_path):
     texts = {1: "abcdefghij" * 9 + " fin", 2: "un\ndeux", 3: "mot " * 30}
     spark.createDataFrame([*texts.items(), (4, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
