@@ -13,7 +13,9 @@ blocks of rows, so no task holds a whole group.  A single row over the limit has
 a page of its own and `oversize` is set.
 
 Null text counts as empty, null doc_id as the empty string.  An empty table gives
-no shard; other columns are ignored.
+no shard; other columns are ignored, but `write_shards` keeps them.  The pages of an
+overflowing bucket hold equal rows, so which of them lie on which page, and the
+blocks in the pages' names, may differ with the input's file splits.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import blank_as_empty, staged
+from .base import blank_as_empty, staged, with_rows
 
 BITS = 60
 STEP = 6  # bits of depth beyond the mean that one round looks at
@@ -34,12 +36,12 @@ def prefix(depth: int | str, hash_: str = "h") -> Column:
     return F.expr(f"shiftright({hash_}, {BITS} - ({depth}))")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """_row, doc_id, n_bytes, h."""
+def keyed(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """_row (the caller's numbers, if given), doc_id, n_bytes, h."""
     text = blank_as_empty()
     key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text.cast("binary")))
     return docs.select(
-        F.monotonically_increasing_id().alias("_row"),
+        (F.monotonically_increasing_id() if row is None else row).alias("_row"),
         "doc_id",
         F.octet_length(text).cast("long").alias("n_bytes"),
         F.conv(F.substring(F.md5(key.cast("binary")), 1, BITS // 4), 16, 10).cast("long").alias("h"),
@@ -59,23 +61,28 @@ def directory(rows: DataFrame, low: int, high: int, limit: int) -> tuple[DataFra
     return shards, levels.filter((F.col("bytes") > limit) & (F.col("depth") == high)).select(F.col("prefix").alias("p"))
 
 
-def assigned(rows: DataFrame, shards: DataFrame, high: int) -> DataFrame:
-    """rows of a shard, by the directory's entries of high bits."""
-    entries = shards.select("depth", "prefix", "bytes", "docs", F.explode(F.expr(f"sequence(shiftleft(prefix, {high} - depth), shiftleft(prefix + 1, {high} - depth) - 1)")).alias("p"))
-    return rows.withColumn("p", prefix(high)).join(entries.hint("merge"), "p").drop("p")
+def assigned(rows: DataFrame, shards: DataFrame) -> DataFrame:
+    """rows of a shard.  The directory has an entry for each prefix of the shards' least
+    depth, with the shards below it, of which there are few, as a shard is split only
+    where it is too large; so it grows with the shards and not with their depth."""
+    least = shards.agg(F.coalesce(F.min("depth"), F.lit(0))).first()[0]
+    entries = shards.groupBy(F.expr(f"shiftright(prefix, depth - {least})").alias("p")).agg(F.collect_list(F.struct("depth", "prefix", "bytes", "docs")).alias("below"))
+    met = rows.withColumn("p", prefix(least)).join(entries.hint("merge"), "p").drop("p")
+    own = F.expr(f"get(filter(below, s -> shiftright(h, int({BITS} - s.depth)) = s.prefix), 0)")
+    return met.withColumn("own", own).filter("own is not null").select(*rows.columns, "own.*")
 
 
-def shard(docs: DataFrame, limit: int) -> DataFrame:
-    """_row, doc_id, n_bytes, shard (bits of the prefix, with the page after a dot
+def shard(docs: DataFrame, limit: int, row: Column | None = None) -> DataFrame:
+    """_row (numbered here, or the caller's row), doc_id, n_bytes, shard (bits of the prefix, with the page after a dot
     in a bucket that can't be split), depth, shard_bytes, shard_docs, oversize."""
-    rows = staged(keyed(docs), "hashed")
+    rows = staged(keyed(docs, row), "hashed")
     total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     low, high = 0, min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + STEP)
     out = None
     while True:
         shards, open_ = directory(rows, low, high, limit)
         shards, open_ = staged(shards, "directory"), staged(open_, "open")
-        found = assigned(rows, shards, high)
+        found = assigned(rows, shards)
         out = found if out is None else out.unionByName(found)
         if not open_.limit(1).count():
             break
@@ -120,9 +127,23 @@ def paged(rows: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def free_name(wanted: str, columns: list[str]) -> str:
+    while wanted in columns:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def write_shards(docs: DataFrame, path: str, limit: int, files: int) -> DataFrame:
-    """Writes docs, which has _row, partitioned by shard; returns the assignment."""
-    found = staged(shard(docs, limit), "sharded")
-    wide = docs.join(found.select("_row", "shard"), "_row")
-    wide.repartition(files, "shard").sortWithinPartitions("shard").drop("_row").write.partitionBy("shard").parquet(path)
+    """Writes docs partitioned by shard (under a name that docs doesn't have) and
+    returns the assignment.  Rows are numbered once, in a staged copy, so that the
+    assignment holds however the input's files are split; fewer or more rows written
+    than read are an error."""
+    row, name = free_name("_row", docs.columns), free_name("shard", docs.columns)
+    rows = with_rows(docs, "documents", row=row)
+    found = staged(shard(rows, limit, F.col(row)), "sharded")
+    wide = rows.join(found.select(F.col("_row").alias(row), F.col("shard").alias(name)), row)
+    wide.repartition(files, name).sortWithinPartitions(name).drop(row).write.partitionBy(name).parquet(path)
+    read, written = rows.count(), docs.sparkSession.read.parquet(path).count() if rows.limit(1).count() else 0
+    if read != written:
+        raise RuntimeError(f"{read} rows were read and {written} written")
     return found
