@@ -49,9 +49,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def deleted(spark: SparkSession, path: str) -> None:
+def _on(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    system, target = _on(spark, path)
+    system.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _on(spark, path)
+    return system.exists(target)
+
+
+def moved(spark: SparkSession, path: str, to: str) -> None:
+    system, target = _on(spark, path)
+    if not system.rename(target, _on(spark, to)[1]):
+        raise OSError(f"{path} can't be renamed to {to}")
 
 
 @contextmanager
@@ -98,6 +114,23 @@ def with_rows(df: DataFrame, label: str, *columns: Column | str, row: str = "_ro
     return staged(df.select(*(columns or ["*"]), F.monotonically_increasing_id().alias(row)), label)
 
 
+HOT = 1000  # a key with more than one in so many rows is hot, so there are fewer hot keys than this
+PIECES = 64
+
+
+def salted_join(rows: DataFrame, unique: DataFrame, key: str, size: str, by: str) -> DataFrame:
+    """rows joined with a staged table that has each key once and, in size, how many of
+    the rows have it.  Hot keys, fewer than HOT by their definition, are broadcast to
+    the rows, whose place then hangs on a hash of `by` too, so that the rows of one key
+    are dealt to PIECES tasks; the hot ones of unique are there once for each piece."""
+    total = unique.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    hot = F.col(size) * HOT > total
+    marked = rows.join(F.broadcast(unique.filter(hot).select(key, F.lit(True).alias("_hot"))), key, "left")
+    placed = marked.withColumn("_piece", F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(PIECES)).cast("int")).otherwise(0)).drop("_hot")
+    dealt = unique.withColumn("_piece", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))))
+    return placed.join(dealt, [key, "_piece"]).drop("_piece")
+
+
 def blank_as_empty(text: Column | str = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

@@ -97,7 +97,10 @@ FROM t LEFT JOIN p USING (s, l, t)
 
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents"), DigestIndex(spark)).drop("_row")
+    index = DigestIndex(spark)
+    found = exact_dedup(table(spark, sf_dir, "documents"), index).drop("_row")
+    index.close(delete=True)  # what the result needs of it is staged
+    return found
 
 
 ORACLE_SQL["op3_exact_dedup"] = r"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from scriptorium.llm import avi, language_id, length_histogram, line_crf, media, minhash, mixing, packing, queries, sharding, suffix_dedup, tokens
-from scriptorium.llm.base import with_rows
+from scriptorium.llm.base import salted_join, staged, with_rows
 from scriptorium.llm.exact_dedup import DigestIndex, exact_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _row string, key string, n int, _tokens int, shard int, digest string"
@@ -87,6 +87,52 @@ def test_digest_index_keeps_batches(spark, docs):
     assert other.read().count() == other.read().select("digest").distinct().count() > size
 
 
+def test_a_repeated_batch_keeps_the_same_texts(spark, docs):
+    index = DigestIndex(spark, buckets=3)
+    exact_dedup(docs.filter("doc_id < 12"), index, batch="monday").count()
+    first = sorted(r["text_sha256"] for r in exact_dedup(docs, index, batch="tuesday").filter("kept").collect())
+    again = exact_dedup(docs.repartition(5), index, batch="tuesday").filter("kept").collect()  # as after a failure, with other row numbers
+    assert first and sorted(r["text_sha256"] for r in again) == first
+    assert exact_dedup(docs, index, batch="wednesday").filter("kept").count() == 0
+
+
+def test_a_compacted_index_holds_the_same(spark, docs):
+    index = DigestIndex(spark, buckets=2)
+    for k in range(3):
+        exact_dedup(docs.filter(f"doc_id % 3 = {k}"), index).count()
+    before = sorted(map(tuple, index.read().collect()))
+    index.compact()
+    assert sorted(map(tuple, index.read().collect())) == before
+    assert len(index.read().inputFiles()) <= 2
+    assert sorted(map(tuple, DigestIndex(spark, index.path, 2).read().collect())) == before
+    index.close(delete=True)
+
+
+def test_salted_join_is_a_join(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id") % 400).alias("k"), "id")
+    sizes = staged(rows.groupBy("k").agg(F.count("*").alias("n")), "sizes")
+    found = salted_join(rows, sizes, "k", "n", "id")
+    assert sorted(map(tuple, found.select("id", "k", "n").collect())) == sorted(map(tuple, rows.join(sizes, "k").select("id", "k", "n").collect()))
+
+
+def test_written_shards_hold_every_row(spark, docs, tmp_path):
+    path = str(tmp_path / "in")
+    with_rows(docs, "numbered", "doc_id", "text", "shard").repartition(7).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "8k"):  # other file splits
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            read = spark.read.parquet(path)
+            found = sharding.write_shards(read, str(tmp_path / size), 4000, 3)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+            written = spark.read.parquet(str(tmp_path / size))
+            assert sorted(map(repr, written.select(*read.columns).collect())) == sorted(map(repr, read.collect()))
+            sizes = {r["_shard"]: r["n"] for r in written.groupBy("_shard").agg(F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("n")).collect()}
+            assert sizes == {r["shard"]: r["n"] for r in found.groupBy("shard").agg(F.max("shard_bytes").alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_shards(docs, empty):
     limit = 4000
     found = sharding.shard(docs, limit).collect()
