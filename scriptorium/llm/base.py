@@ -118,17 +118,18 @@ HOT = 1000  # a key with more than one in so many rows is hot, so there are fewe
 PIECES = 64
 
 
-def salted_join(rows: DataFrame, unique: DataFrame, key: str, size: str, by: str) -> DataFrame:
+def salted_join(rows: DataFrame, unique: DataFrame, key: str | list[str], size: str, by: str) -> DataFrame:
     """rows joined with a staged table that has each key once and, in size, how many of
     the rows have it.  Hot keys, fewer than HOT by their definition, are broadcast to
     the rows, whose place then hangs on a hash of `by` too, so that the rows of one key
     are dealt to PIECES tasks; the hot ones of unique are there once for each piece."""
+    keys = [key] if isinstance(key, str) else key
     total = unique.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     hot = F.col(size) * HOT > total
-    marked = rows.join(F.broadcast(unique.filter(hot).select(key, F.lit(True).alias("_hot"))), key, "left")
+    marked = rows.join(F.broadcast(unique.filter(hot).select(*keys, F.lit(True).alias("_hot"))), keys, "left")
     placed = marked.withColumn("_piece", F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(PIECES)).cast("int")).otherwise(0)).drop("_hot")
     dealt = unique.withColumn("_piece", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))))
-    return placed.join(dealt, [key, "_piece"]).drop("_piece")
+    return placed.join(dealt, [*keys, "_piece"]).drop("_piece")
 
 
 def blank_as_empty(text: Column | str = "text") -> Column:

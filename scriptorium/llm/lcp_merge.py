@@ -50,10 +50,10 @@ def decoded(run: bytes) -> Iterator[tuple[int, bytes, int]]:
         yield k, last, count
 
 
-def merged(runs: list[bytes]) -> Iterator[tuple[int, bytes, int]]:
-    """(length shared with the string before, string, count) over all runs in
-    order; a string of several runs comes once for each, with its full length shared
-    from the second on."""
+def merged(runs: list[bytes]) -> Iterator[tuple[int, int, bytes, int]]:
+    """(number of the run, length shared with the string before, string, count) over all
+    runs in order; a string of several runs comes once for each, with its full length
+    shared from the second on."""
     readers = [decoded(r) for r in runs]
     size = 1
     while size < len(runs):
@@ -92,7 +92,7 @@ def merged(runs: list[bytes]) -> Iterator[tuple[int, bytes, int]]:
 
     winner = build(1)
     while (string := strings[winner]) is not None:
-        yield known[winner], string, counts[winner]
+        yield winner, known[winner], string, counts[winner]
         following = next(readers[winner], None)
         if following:
             known[winner], strings[winner], counts[winner] = following

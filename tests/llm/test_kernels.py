@@ -30,9 +30,9 @@ def test_ids_are_the_tokenizers(tokenizer, texts):
 def test_merge_knows_prefixes(runs):
     runs = [sorted(set(r)) for r in runs]
     out = list(lcp_merge.merged([lcp_merge.front_coded(r, [1] * len(r)) for r in runs]))
-    assert [s for _, s, _ in out] == sorted(s for r in runs for s in r)
+    assert [s for _, _, s, _ in out] == sorted(s for r in runs for s in r)
     last = b""
-    for known, s, _ in out:
+    for _, known, s, _ in out:
         assert known == len(commonprefix([last, s]))
         last = s
 
@@ -52,13 +52,26 @@ def test_merge_never_compares_known_prefixes(monkeypatch):
 def test_cells_cover_all_windows():
     random.seed(2)
     texts = [bytes(random.choices(b"ab ", k=random.randint(0, 300))) for _ in range(30)]
-    owner, start, windows, grams, names = suffix_dedup.cells(texts, 20, 10)
+    owner, start, windows, before, grams, names = suffix_dedup.cells(texts, 20, 10)
     assert windows.sum() == sum(max(0, len(t) - 19) for t in texts)
     by_gram = {}
     for k in range(len(owner)):
         for w in range(windows[k]):
             piece = texts[owner[k]][start[k] + w : start[k] + w + 20]
             assert by_gram.setdefault(piece, grams[k]) == grams[k]  # equal windows, equal grams
+        assert 0 <= before[k] - windows[k] + 1 and before[k] <= 10  # the gram lies in all windows of the cell
+
+
+@given(st.lists(st.tuples(st.binary(max_size=4), st.binary(min_size=4, max_size=8), st.integers(1, 2)), min_size=1, max_size=12, unique_by=lambda c: c[:2]))
+def test_common_prefixes_tell_what_repeats(made):
+    """Windows of 8 bytes around a gram of 4, by both orders' common prefixes, against all pairs."""
+    made = sorted(((b"gram" + after)[: 4 + len(after)], before, n) for before, after, n in made)
+    common = [0] + [len(commonprefix([a[0], b[0]])) for a, b in zip(made, made[1:])]
+    again = suffix_dedup.repeated_windows(np.array(common), np.array([len(s) for s, _, _ in made]), [b for _, b, _ in made], np.array([n for _, _, n in made]), 8, 4)
+    piece = lambda c, k: (c[1][:k], c[0][: 8 - k]) if len(c[1]) >= k and len(c[0]) >= 8 - k else None
+    for k in range(5):
+        times = Counter(p for c in made for p in [piece(c, k)] * c[2] if p)
+        assert [bool(x) for x in again[k]] == [times[piece(c, k)] > 1 for c in made]
 
 
 def test_cut():

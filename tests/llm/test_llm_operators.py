@@ -197,8 +197,8 @@ def test_media(docs, empty):
     assert media.read_back(media.stored(empty)).count() == 0
 
 
-@pytest.mark.parametrize("window", [200, 24])
-def test_suffix_dedup(docs, empty, window):
+@pytest.mark.parametrize("window, hot", [(200, 100_000), (24, 100_000), (24, 2)])
+def test_suffix_dedup(docs, empty, window, hot):
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
     times = Counter(t[s : s + window] for _, t in rows for s in range(len(t) - window + 1))
     expected = []
@@ -210,7 +210,7 @@ def test_suffix_dedup(docs, empty, window):
         kept = bytes(np.frombuffer(t, np.uint8)[~covered])
         spans = int((np.diff(np.concatenate([[0], covered.astype(int)])) == 1).sum())
         expected.append((i, len(t), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest()))
-    found = listed(suffix_dedup.remove_repeats(docs, window, part_bytes=3000), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = listed(suffix_dedup.remove_repeats(docs, window, part_bytes=3000, hot=hot), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert found == sorted(expected, key=repr)
     assert suffix_dedup.remove_repeats(empty, window).count() == 0
 
