@@ -1,27 +1,30 @@
 """Operator 9: language by known words, backing off to shorter character n-grams.
 
-Training counts words and character n-grams by language in each task, sums them,
-and keeps the most frequent `words` and `grams` of each language, so the model's
-size is bounded whatever the corpus.  A known word scores the log of its relative
-frequency in each language.  An unseen word is scored by its n-grams of the
-greatest length of which any is known, each step down at a cost; a document by
-the sum over its words.
-
-Null text, and text without a letter, is `und` with score 0.  Repeated rows get
-the same answer each; ties between languages go to the first in alphabetical
-order.  Without any labelled row every text is `und`.  Other columns are ignored.
+Training counts words and character n-grams by language in each task, sums them, and
+keeps of each language the most frequent, `items` of all languages together, so the
+model's size is bounded whatever the corpus.  It is fitted on a sample of labelled
+rows: about docs_per_language of each language, all of a rarer one, so no language
+is left out.  A known word scores the log of its relative frequency in each
+language.  An unseen word is scored by its n-grams of the greatest length of which
+any is known, each step down at a cost; a document by the sum over its words.
+
+A word is a run of letters (Unicode category L).  Null text, and text without a
+letter, is `und` with score 0.  Repeated rows get the same answer each; ties between
+languages go to the first in alphabetical order.  Without any labelled row every text
+is `und`.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +34,9 @@ from .base import staged
 from .tokens import blocks
 from .worker import kept
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Word characters that are neither letters nor decimal digits, such as ½ and ①.
+NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
 LONGEST = 5
 UNDETERMINED = "und"
 
@@ -45,12 +50,13 @@ def grams(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
-def train(labelled: DataFrame, sample_docs: int = 6000, words: int = 20_000, grams_kept: int = 30_000, languages: int = 200) -> dict:
+def train(labelled: DataFrame, docs_per_language: int = 1500, items: int = 300_000) -> dict:
     """labelled: text, lang, and _draw, a number from 0 to 2**32 - 1 by which about
-    sample_docs rows are drawn; the bound holds for the fit alone."""
+    docs_per_language rows of each language are drawn; the bounds hold for the fit alone."""
     labelled = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    n = labelled.count()
-    drawn = labelled.filter(F.col("_draw") < F.lit(int(2**32 * min(1.0, sample_docs / max(1, n))))) if n > sample_docs else labelled
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("_docs"))
+    share = F.least(F.lit(1.0), docs_per_language / F.col("_docs"))
+    drawn = labelled.join(sizes, "lang").filter(F.col("_draw") < F.floor(F.lit(2.0**32) * share))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter[str]] = defaultdict(Counter)
@@ -71,33 +77,33 @@ def train(labelled: DataFrame, sample_docs: int = 6000, words: int = 20_000, gra
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int64()))], ["lang", "size", "item", "n"])
 
     counted = staged(drawn.select("text", "lang").mapInArrow(count, "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n")), "lang-counts")
-    totals = counted.groupBy("lang", "size").agg(F.sum("n").alias("total"), F.count("*").alias("items"))
-    top = totals.filter("size = 0").orderBy(F.desc("total"), "lang").limit(languages).select("lang")
+    totals = counted.groupBy("lang", "size").agg(F.sum("n").alias("total")).collect()  # six rows a language
+    names = sorted({r["lang"] for r in totals})
+    sums = {(r["lang"], r["size"]): r["total"] for r in totals}
+    own = max(100, items // max(1, len(names)))  # of a language: two fifths for words, as they are asked first
     best = Window.partitionBy("lang", F.col("size") == 0).orderBy(F.desc("n"), "size", "item")
-    most = counted.join(F.broadcast(top), "lang").select("*", F.row_number().over(best).alias("rank"))
-    most = most.filter((F.col("rank") <= F.when(F.col("size") == 0, words).otherwise(grams_kept)) & ((F.col("n") > 1) | (F.col("size") > 0)))
-    names = sorted(r["lang"] for r in top.collect())
-    sums = {(r["lang"], r["size"]): r["total"] for r in totals.join(F.broadcast(top), "lang").collect()}
-    items = most.select("lang", "size", "item", "n").collect()
+    most = counted.select("*", F.row_number().over(best).alias("rank")).filter(F.col("rank") <= F.when(F.col("size") == 0, own * 2 // 5).otherwise(own - own * 2 // 5))
+    items_ = most.select("lang", "size", "item", "n").collect()  # items rows, or 100 a language
     place = {lang: k for k, lang in enumerate(names)}
     return {
         "languages": names,
         "sums": sums,
-        "items": "\n".join(r["item"] for r in items),  # letters and <>: one text is far smaller than its parts
-        "lang": np.array([place[r["lang"]] for r in items], np.int32),
-        "size": np.array([r["size"] for r in items], np.int8),
-        "n": np.array([r["n"] for r in items], np.int64),
+        "items": "\n".join(r["item"] for r in items_),  # letters and <>: one text is far smaller than its parts
+        "lang": np.array([place[r["lang"]] for r in items_], np.int32),
+        "size": np.array([r["size"] for r in items_], np.int8),
+        "n": np.array([r["n"] for r in items_], np.int64),
     }
 
 
 class Scorer:
-    """Scores words by a model; remembers at most max_words words."""
+    """Scores texts by a model.  Arrow splits and numbers their tokens between blanks, so
+    that each different token is taken apart once; at most max_tokens are remembered."""
 
     STEP = 0.4  # the cost in log units of each shorter n-gram length, as in stupid backoff
     FLOOR = 0.5  # the count that an item has in a language without it
 
-    def __init__(self, model: dict, max_words: int = 200_000):
-        self.languages, self.max_words = model["languages"], max_words
+    def __init__(self, model: dict, max_tokens: int = 300_000):
+        self.languages, self.max_tokens = model["languages"], max_tokens
         items = model["items"].split("\n") if len(model["n"]) else []
         self.tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
         for size, item in zip(model["size"].tolist(), items, strict=True):
@@ -111,32 +117,46 @@ class Scorer:
         self.forget()
 
     def forget(self) -> None:
-        self.index = dict(self.tables[0])
-        self.rows = self.logs[0]
-
-    def unseen(self, word: str) -> np.ndarray:
+        self.index: dict[str, int] = {}
+        self.rows = np.zeros((0, len(self.languages)))
+        self.words = np.zeros(0, np.int64)
+
+    def word(self, word: str) -> np.ndarray:
+        at = self.tables[0].get(word)
+        if at is not None:
+            return self.logs[0][at]
         for size in range(LONGEST, 0, -1):
             known = [k for k in map(self.tables[size].get, grams(word, size)) if k is not None]
             if known:
                 return self.logs[size][known].mean(axis=0) - np.float32(self.STEP * np.log(10) * (LONGEST + 1 - size))
         return np.zeros(len(self.languages), np.float32)
 
+    def learn(self, tokens: list[str]) -> None:
+        """The sums of the words of new tokens, and how many words each has."""
+        found = [LETTERS.findall(t.lower()) for t in tokens]
+        rows = np.zeros((len(tokens), len(self.languages)))
+        for k, words in enumerate(found):
+            for w in words:
+                rows[k] += self.word(w)
+        self.rows = np.concatenate([self.rows, rows])
+        self.words = np.concatenate([self.words, np.array([len(w) for w in found], np.int64)])
+        self.index.update(zip(tokens, range(len(self.index), len(self.index) + len(tokens)), strict=True))
+
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The sum of each text's words by language, and how many words it has."""
-        found = [LETTERS.findall(t.lower()) for t in texts]
-        sums, counts = np.zeros((len(texts), len(self.languages))), np.array([len(w) for w in found], np.int64)
-        if len(self.index) > self.max_words:
+        split = pc.utf8_split_whitespace(pa.array(texts, pa.string()))
+        coded = split.flatten().dictionary_encode()
+        tokens, sizes = coded.dictionary.to_pylist(), np.diff(split.offsets.to_numpy()).astype(np.int64)
+        if self.index and len(self.index) + len(tokens) > self.max_tokens:
             self.forget()
-        flat = [w for ws in found for w in ws]
-        at = np.fromiter(map(self.index.get, flat, repeat(-1)), np.int64, len(flat))
-        new = list(dict.fromkeys(flat[k] for k in np.flatnonzero(at < 0).tolist()))
-        if new:
-            self.rows = np.concatenate([self.rows, np.array([self.unseen(w) for w in new])])
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        some = np.flatnonzero(counts)
+        self.learn([t for t in tokens if t not in self.index])
+        at = np.fromiter(map(self.index.__getitem__, tokens), np.int64, len(tokens))[coded.indices.to_numpy()] if tokens else np.zeros(0, np.int64)
+        sums, counts = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
+        some = np.flatnonzero(sizes)
         if len(some):
-            sums[some] = np.add.reduceat(self.rows[at].astype(float), (np.cumsum(counts) - counts)[some], axis=0)
+            starts = (np.cumsum(sizes) - sizes)[some]
+            sums[some] = np.add.reduceat(self.rows[at], starts, axis=0)
+            counts[some] = np.add.reduceat(self.words[at], starts)
         return sums, counts
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -157,7 +177,7 @@ def scorer_of(key: str, model: Broadcast) -> Scorer:
 
 def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The columns of each document, or all of them, with lang_pred and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages * (words + grams_kept) items at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # `items` of `train` at most
     wanted = docs.select(*columns, F.col("text").alias("_text")) if columns else docs
     at, width = (len(columns), len(columns)) if columns else (docs.columns.index("text"), len(docs.columns))
     key = uuid.uuid4().hex
