@@ -6,8 +6,10 @@ every line good or bad; a document's quality is the mean of its lines' marginals
 from forward-backward, weighted by their bytes, then calibrated.  Only the text
 enters a score.
 
-It is fitted on at most `sample` labelled documents, drawn by a hash of doc_id;
-a document's label holds for all its lines in training.
+It is fitted on at most `sample` labelled documents of at most `most_lines` lines in
+all, drawn in the order of a hash of doc_id; a document's label holds for all its lines
+in training.  Of rows that share a doc_id one text (the least by hash) and the lower
+label count.
 
 Null text counts as empty: one empty line, which gets a score too.  Repeated rows
 get equal scores.  Without labelled rows of both kinds the score is 0.5.  An empty
@@ -194,22 +196,34 @@ def held_out() -> Column:
     return F.coalesce(F.pmod(crc_of(), F.lit(5)) == 0, F.lit(False))
 
 
-def trained_on(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> Model:
-    """From labelled documents that aren't held out."""
+def trained_on(docs: DataFrame, labels: DataFrame, sample: int = 3000, most_lines: int = 200_000) -> Model:
+    """From labelled documents that aren't held out; a document that would go beyond
+    most_lines is passed over, so what the driver holds is bounded."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
-    drawn = usable.select("doc_id", F.col("quality").cast("int").alias("_label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    drawn = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("_label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # one row of a doc_id: by sums in each task first, so that repeated rows stay where they are
+    one = docs.select("doc_id", blank_as_empty().alias("text")).join(F.broadcast(drawn), "doc_id").withColumn("_size", F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
+    places = one.groupBy("doc_id", "_label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("_size").alias("lines"))).alias("_one")).select("doc_id", "_label", "_one.*").collect()  # sample rows at most
+    chosen, lines = [], 0
+    for r in sorted(places, key=lambda r: (r["hash"], r["doc_id"])):
+        if lines + r["lines"] <= most_lines:
+            chosen.append((r["doc_id"], r["hash"]))
+            lines += r["lines"]
+    if not chosen:
+        return Model(np.zeros(3 * FEATURES), np.zeros((2, 2)), known=False)
+    taken = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, _hash long"))
+    texts = one.join(taken, ["doc_id"]).filter(F.xxhash64("text") == F.col("_hash"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, size, counts = features([t or "" for t in batch.column(0).to_pylist()])
+            x, size, counts = features(batch.column(0).to_pylist())
             ends = np.cumsum(counts)
             rows = [(x[e - n : e].astype(np.float32).tobytes(), size[e - n : e].astype(np.int64).tobytes()) for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["label", "x", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), batch.column(2)], ["label", "x", "size", "doc_id"])
 
-    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "_label").mapInArrow(describe, "label int, x binary, size binary").limit(2 * sample).collect()
-    if not found:
-        return Model(np.zeros(3 * FEATURES), np.zeros((2, 2)), known=False)
-    found.sort(key=lambda r: (r["label"], bytes(r["x"])))
+    described = texts.select("text", "_label", "doc_id").mapInArrow(describe, "label int, x binary, size binary, doc_id long")
+    found = described.groupBy("doc_id").agg(F.first("label").alias("label"), F.first("x").alias("x"), F.first("size").alias("size")).collect()  # equal texts are one; most_lines rows of features
+    found.sort(key=lambda r: (r["label"], bytes(r["x"]), r["doc_id"]))
     sizes = [np.frombuffer(r["size"], np.int64) for r in found]
     x = np.concatenate([np.frombuffer(r["x"], np.float32).reshape(-1, 3 * FEATURES) for r in found]).astype(float)
     return fit(x, np.concatenate(sizes), np.array([len(s) for s in sizes]), np.array([r["label"] for r in found]))
