@@ -164,7 +164,8 @@ class WordTokenizer:
         parts: list[tuple[str, str]] = []
         for w in words:
             core = w if w.isalpha() else w.rstrip(MARKS)
-            parts.append((core, w[len(core) :]) if core.isalpha() else (w, ""))
+            apart = core.isalpha() and unicodedata.is_normalized("NFC", core)  # others may end in a mark that joins what follows
+            parts.append((core, w[len(core) :]) if apart else (w, ""))
         cores = self.cores
         new = list(dict.fromkeys(x for p in parts for x in p if x not in cores))
         cores.update(zip(new, self._encode(new), strict=True))
