@@ -17,6 +17,7 @@ the empty string.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ REST = "\x00rest"
 TOPICS = 8
 LONG_WORD = 5
 SWEEPS = 40
+TOLERANCE = 1e-3  # of a marginal's share; beyond it raking warns
 DIMENSIONS = "source", "lang", "topic"
 
 
@@ -94,6 +96,9 @@ def rake(cells: list[tuple], targets: tuple[dict, ...], sweeps: int = SWEEPS) ->
         for group, goal in zip(groups, goals, strict=True):
             now = np.bincount(group, weights, len(goal))
             weights *= np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)[group]
+    off = max(float(np.abs(np.bincount(group, weights, len(goal)) - goal).max()) for group, goal in zip(groups, goals, strict=True))
+    if off > TOLERANCE:
+        warnings.warn(f"a marginal is off its target by {off:.2g} after {sweeps} sweeps: the targets can't all be met by the cells that occur", stacklevel=2)
     return weights
 
 

@@ -74,8 +74,14 @@ m AS (
   FROM words),
 t AS (SELECT doc_id, s, l, tokens, CAST(list_position(c, list_max(c)) - 1 AS INTEGER) AS t FROM m),
 cells AS (SELECT s, l, t, CAST(sum(tokens) AS DOUBLE) AS tok FROM t GROUP BY ALL),
-goal_s AS (SELECT s, g / sum(g) OVER () AS g FROM (SELECT DISTINCT s, CASE s WHEN '~' THEN 1 - 0.12 - 19 * 0.046 WHEN 'src0' THEN 0.12 ELSE 0.046 END::DOUBLE AS g FROM cells WHERE tok > 0)),
-goal_l AS (SELECT l, g / sum(g) OVER () AS g FROM (SELECT DISTINCT l, CASE l WHEN '~' THEN 0 WHEN 'en' THEN 0.5 WHEN 'fr' THEN 0.18 WHEN 'de' THEN 0.18 ELSE 0.14 END::DOUBLE AS g FROM cells WHERE tok > 0)),
+share_s AS (SELECT s, sum(tok) / sum(sum(tok)) OVER () AS own, CASE s WHEN '~' THEN 1 - 0.12 - 19 * 0.046 WHEN 'src0' THEN 0.12 ELSE 0.046 END::DOUBLE AS g FROM cells WHERE tok > 0 GROUP BY 1),
+share_l AS (SELECT l, sum(tok) / sum(sum(tok)) OVER () AS own, CASE l WHEN '~' THEN 0 WHEN 'en' THEN 0.5 WHEN 'fr' THEN 0.18 WHEN 'de' THEN 0.18 ELSE 0.14 END::DOUBLE AS g FROM cells WHERE tok > 0 GROUP BY 1),
+wide_s AS (SELECT s, CASE WHEN coalesce(max(own) FILTER (s = '~') OVER (), 0) <= 1 - 0.12 - 19 * 0.046 THEN g WHEN s = '~' THEN own
+             ELSE g * (1 - max(own) FILTER (s = '~') OVER ()) / sum(g) FILTER (s <> '~') OVER () END AS g FROM share_s),
+wide_l AS (SELECT l, CASE WHEN coalesce(max(own) FILTER (l = '~') OVER (), 0) <= 0 THEN g WHEN l = '~' THEN own
+             ELSE g * (1 - max(own) FILTER (l = '~') OVER ()) / sum(g) FILTER (l <> '~') OVER () END AS g FROM share_l),
+goal_s AS (SELECT s, g / sum(g) OVER () AS g FROM wide_s),
+goal_l AS (SELECT l, g / sum(g) OVER () AS g FROM wide_l),
 goal_t AS (SELECT t, 1.0::DOUBLE / count(*) OVER () AS g FROM (SELECT DISTINCT t FROM cells WHERE tok > 0)),
 fit AS (
   SELECT 0 AS i, s, l, t, tok, tok / sum(tok) OVER () AS w FROM cells
