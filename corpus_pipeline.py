@@ -70,7 +70,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @plainly_named
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    measured = mixing.measured(docs)
+    measured = staged(mixing.measured(docs), "measured")  # read twice: for the cells' sums and for the draw
     return documents_like(mixing.mixed(measured, (SOURCES, LANGUAGES, TOPIC_SHARES), KEEP).filter("_sampled"), docs.columns)
 
 
