@@ -6,13 +6,16 @@ similarity by bit counts, corrected for chance collisions; pairs whose estimate
 is near the threshold or over it are confirmed on the full sets.  Documents with
 equal sets are one candidate.  A bucket emits no more than a star of pairs to
 its smallest member, and components are built from the confirmed ones.  Buckets
-that still hold several components draw another hub; of what is
-then open, members outside their family's largest component are compared with
+that still hold several components draw another hub, as long as that links
+something, HUB_ROUNDS times at most; of what is then open, members outside their family's largest component are compared with
 all of it, in blocks.
 
 At the threshold 0.8 a pair misses all 40 bands of 6 rows with probability 5e-6;
 the margin of the estimate is over 5 standard deviations.
 
+Members of a large bucket, component or family are dealt to several tasks wherever
+they meet its row.
+
 Null text counts as empty; documents without words are linked with nothing and
 are their own component.  Repeated rows are copies of each other.  Components
 are named by their smallest doc_id that isn't null.  An empty table gives an
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import blank_as_empty, release, scratch, staged, temporary, with_rows
+from .base import blank_as_empty, release, salted_join, scratch, staged, temporary, with_rows
 from .components import components
 from .tokens import blocks
 
@@ -201,14 +204,14 @@ def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
     labels = components(links, rounds=1)
     labelled = staged(members.join(labels, members["rep"] == labels["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), "labelled")
     parts = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
-    several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("size", "component")).alias("largest")).filter("parts > 1").select("key", "largest")
-    return staged(labelled.join(several, "key"), "open")
+    several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("size").alias("members"), F.max_by("component", F.struct("size", "component")).alias("largest")).filter("parts > 1").select("key", "members", "largest")
+    return staged(salted_join(labelled, staged(several, "several"), "key", "members", "rep").drop("members"), "open")
 
 
 def hub_pairs(members: DataFrame, seed: int) -> DataFrame:
     """One drawn member of each key with those of other components."""
-    drawn = members.groupBy("key").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "key", F.lit(seed))).alias("hub"))
-    met = members.join(drawn, "key").filter(F.col("component") != F.col("hub.component"))
+    drawn = members.groupBy("key").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "key", F.lit(seed))).alias("hub"), F.count("*").alias("members"))
+    met = salted_join(members, staged(drawn, "drawn"), "key", "members", "rep").filter(F.col("component") != F.col("hub.component"))
     return met.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
 
 
@@ -247,14 +250,18 @@ def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes:
     """What hubs left apart, exactly.  Members that buckets connect are a family; its
     members outside its largest component meet all of it, in blocks of sets that
     are dealt out one by one, so neither a task nor a row grows with the family."""
-    least = opened.groupBy("key").agg(F.min("component").alias("a"))  # linked members stand for one
-    families = components(opened.select("key", F.col("component").alias("b")).join(least, "key").filter("a <> b").select("a", "b").distinct())
-    members = opened.select("rep", "component").distinct().join(families.select("node", F.col("component").alias("family")), F.col("component") == F.col("node")).drop("node")
+    least = staged(opened.groupBy("key").agg(F.min("component").alias("a"), F.count("*").alias("n")), "least")  # linked members stand for one
+    met = salted_join(opened.select("key", "rep", F.col("component").alias("b")), least, "key", "n", "rep")
+    families = components(met.filter("a <> b").select("a", "b").distinct())
+    single = staged(opened.select("rep", "component").distinct(), "single")
+    sizes = single.groupBy("component").agg(F.count("*").alias("n"))
+    named = staged(families.select(F.col("node").alias("component"), F.col("component").alias("family")).join(sizes, "component"), "named")
+    members = salted_join(single, named, "component", "n", "rep").drop("n")
     members = members.join(sets.select(F.col("_row").alias("rep"), "shingles"), "rep")
     members = staged(members, "family-members")
     parts = members.groupBy("family", "component").agg(F.count("*").alias("size"), F.sum(F.octet_length("shingles") + 64).alias("bytes"))
-    totals = staged(parts.groupBy("family").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.ceil(F.sum("bytes") / block_bytes).alias("blocks")), "families")
-    placed = members.join(totals, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    totals = staged(parts.groupBy("family").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.sum("size").alias("members"), F.ceil(F.sum("bytes") / block_bytes).alias("blocks")), "families")
+    placed = salted_join(members, totals, "family", "members", "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     gathered = F.collect_list(F.struct("rep", "component", "shingles"))
     everyone = placed.groupBy("family", "block").agg(gathered.alias("others"))
     few = placed.filter("component <> largest").groupBy("family", "block", "blocks").agg(gathered.alias("few"))
@@ -269,7 +276,7 @@ def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes:
     return staged(met.select("few", "others").mapInArrow(compare, "a long, b long"), "rest-linked")
 
 
-HUB_ROUNDS = 1
+HUB_ROUNDS = 3  # at most; what they leave is compared in blocks
 
 
 def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -277,11 +284,11 @@ def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select("_row", F.col("doc_id").cast("long").alias("doc_id"), blank_as_empty().alias("text"))
     all_signed = staged(signed(docs, size), "signed")
-    classes = staged(all_signed.filter("n > 0").groupBy("set_key").agg(F.min("_row").alias("rep")), "classes")
+    classes = staged(all_signed.filter("n > 0").groupBy("set_key").agg(F.min("_row").alias("rep"), F.count("*").alias("copies")), "classes")
     reps = staged(all_signed.join(classes.select(F.col("rep").alias("_row")), "_row", "left_semi"), "reps")
     keys = reps.select(F.col("_row").alias("rep"), F.explode("bands").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).filter("members > 1").select("key", "hub")
-    shared = staged(keys.join(hubs, "key"), "buckets")  # buckets of two and more
+    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).filter("members > 1")
+    shared = staged(salted_join(keys, staged(hubs, "hubs"), "key", "members", "rep").select("key", "rep", "hub"), "buckets")  # buckets of two and more
     release(spark)
     sets = staged(sets_of(docs, shared.select(F.col("rep").alias("_row")).distinct(), size), "sets")
     release(spark)
@@ -292,15 +299,20 @@ def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
         pairs = staged(hub_pairs(opened, seed).join(tested, ["a", "b"], "left_anti"), "hub-pairs")
         if not pairs.limit(1).count():
             break
-        tested, links = tested.unionByName(pairs), links.unionByName(confirmed(pairs, reps, sets, percent))
+        new = confirmed(pairs, reps, sets, percent)
+        if not new.limit(1).count():
+            break
+        tested, links = tested.unionByName(pairs), links.unionByName(new)
         opened = still_open(opened.select("key", "rep"), links)
         release(spark)
     if opened.limit(1).count():
         links = links.unionByName(rest_of_links(opened, sets, percent))
         release(spark)
     labels = components(links)
-    of = staged(classes.join(labels, classes["rep"] == labels["node"], "left").select("set_key", F.coalesce("component", "rep").alias("component")), "class-components")
-    return all_signed.select("_row", "doc_id", F.col("n").alias("n_shingles"), "set_key").join(of, "set_key", "left").drop("set_key")
+    of = staged(classes.join(labels, classes["rep"] == labels["node"], "left").select("set_key", "copies", F.coalesce("component", "rep").alias("component")), "class-components")
+    rows = all_signed.select("_row", "doc_id", F.col("n").alias("n_shingles"), "set_key")
+    with_words = salted_join(rows.filter("n_shingles > 0"), of, "set_key", "copies", "_row").drop("set_key", "copies")
+    return with_words.unionByName(rows.filter("n_shingles = 0").drop("set_key").withColumn("component", F.lit(None).cast("long")))
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -313,9 +325,10 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         members_of(docs, size, percent).write.parquet(path)
     release(spark)
     named = spark.read.parquet(path)
-    heads = named.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("head"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best"))
-    heads = staged(heads.select("component", "head", F.col("best._row").alias("head_row")), "heads")
-    out = named.join(heads, "component", "left")
+    heads = named.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("head"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best"), F.count("*").alias("size"))
+    heads = staged(heads.select("component", "head", F.col("best._row").alias("head_row"), "size"), "heads")
+    alone = named.filter(F.col("component").isNull()).select("*", F.lit(None).cast("long").alias("head"), F.lit(None).cast("long").alias("head_row"))
+    out = salted_join(named.filter(F.col("component").isNotNull()), heads, "component", "size", "_row").drop("size").unionByName(alone)
     component_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("head"))
     return out.select(
         "_row",

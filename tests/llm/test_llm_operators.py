@@ -317,6 +317,32 @@ def test_language_edges(docs, empty):
     assert language_id.identify(empty, model).count() == 0
 
 
+def test_language_needs_letters_and_leaves_no_language_out(spark):
+    rows = [(k, f"the house number {k} and the garden", "en") for k in range(400)] + [(1000 + k, "ein haus und ein garten", "de") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("_draw", F.pmod(F.xxhash64("doc_id"), F.lit(2**32)))
+    model = language_id.train(docs, docs_per_language=20)
+    assert model["languages"] == ["de", "en"]
+    asked = spark.createDataFrame([(0, "½ ²"), (1, "①② 12"), (2, "日本"), (3, "_ ͡ ⅷ"), (4, "ein garten"), (5, "x½the")], "doc_id long, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(asked, model).collect()}
+    assert [found[k] for k in range(6)] == ["und", "und", found[2], "und", "de", "en"] and found[2] != "und"
+    scorer = language_id.Scorer(model)
+    texts = [" ".join(w for w in t.split()) for t in ("the\u2003house\tand das garten", "", "ΟΔΟΣ the", "number")]
+    together = scorer.scores(texts)
+    for k, t in enumerate(texts):  # a text's scores don't hang on those beside it, and are the sums of its words
+        words = language_id.LETTERS.findall(t.lower())
+        assert together[1][k] == len(words) and np.allclose(together[0][k], sum((scorer.word(w).astype(float) for w in words), np.zeros(2)))
+
+
+def test_quality_is_fitted_alike_when_doc_ids_repeat(spark):
+    rows = [(k, f"{'good plain text of a page' if k % 2 else '$$$ 99 %% ## 1234'} {k}\n" * (1 + k % 4)) for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    once = line_crf.trained_on(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    twice = line_crf.trained_on(spark.createDataFrame(rows + rows, "doc_id long, text string").repartition(5), labels.union(labels))
+    assert once.known and np.allclose(once.weights, twice.weights) and once.slope == pytest.approx(twice.slope)
+    bounded = line_crf.trained_on(spark.createDataFrame(rows, "doc_id long, text string"), labels, most_lines=3)
+    assert len(bounded.weights) == len(once.weights)
+
+
 def test_quality_edges(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (None, 0, 0), (3, None, 0), (99, 0, 0)], "doc_id long, quality int, toxic int")
     model = line_crf.trained_on(docs, labels)

@@ -25,6 +25,16 @@ def test_against_sql(spark, data, name):
     assert ordered(df.collect(), df.columns) == ordered(found.fetchall(), columns)
 
 
+def test_mixing_against_sql_where_values_have_no_target(spark, data, tmp_path):
+    duck = duckdb.connect()
+    duck.execute(f"""COPY (SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN 'it' ELSE lang END AS lang,
+      CASE WHEN doc_id % 5 = 0 THEN 'web' WHEN doc_id % 7 = 0 THEN NULL ELSE source END AS source, n_chars FROM '{data}/documents.parquet') TO '{tmp_path}/documents.parquet'""")
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    df = queries.QUERIES["op2_mixing"](spark, str(tmp_path))
+    found = duck.execute(queries.ORACLE_SQL["op2_mixing"])
+    assert ordered(df.collect(), df.columns) == ordered(found.fetchall(), [c[0] for c in found.description])
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
 
