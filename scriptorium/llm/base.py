@@ -132,6 +132,14 @@ def salted_join(rows: DataFrame, unique: DataFrame, key: str | list[str], size:
     return placed.join(dealt, [*keys, "_piece"]).drop("_piece")
 
 
+def spread_join(rows: DataFrame, unique: DataFrame, key: str, by: str, pieces: int = 8) -> DataFrame:
+    """The same for a unique side that is small against the rows: all of it is there once
+    for each piece, and the rows of every key are dealt by a hash of `by`; no sizes are needed."""
+    placed = rows.withColumn("_piece", F.pmod(F.xxhash64(by), F.lit(pieces)).cast("int"))
+    dealt = unique.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    return placed.join(dealt, [key, "_piece"]).drop("_piece")
+
+
 def blank_as_empty(text: Column | str = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

@@ -7,7 +7,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import salted_join, staged
+from .base import spread_join, staged
 
 
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
@@ -17,13 +17,12 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     node with many links, and of a component with many nodes, are dealt to several
     tasks.  After so many rounds, where given, components may still be in parts."""
     both = staged(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("component"), F.count("*").alias("degree")).withColumnRenamed("a", "node"), "labels")
+    labels = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("component")).withColumnRenamed("a", "node"), "labels")
     for k in count(1):
-        near = salted_join(both, labels.withColumnRenamed("node", "b"), "b", "degree", "a").groupBy("a").agg(F.min("component").alias("near"))
-        lower = staged(labels.join(near, labels["node"] == near["a"]).select("node", "degree", F.col("component").alias("was"), F.least("component", "near").alias("component")), "labels")
-        sizes = lower.groupBy(F.col("component").alias("node")).agg(F.count("*").alias("size"))
-        up = staged(lower.select("node", F.col("component").alias("above")).join(sizes, "node").withColumnRenamed("node", "component"), "above")
-        labels = staged(salted_join(lower, up, "component", "size", "node").select("node", "degree", "was", F.least("component", "above").alias("component")), "labels")
+        near = spread_join(both, labels.withColumnRenamed("node", "b"), "b", "a").groupBy("a").agg(F.min("component").alias("near"))
+        lower = staged(labels.join(near, labels["node"] == near["a"]).select("node", F.col("component").alias("was"), F.least("component", "near").alias("component")), "labels")
+        up = lower.select(F.col("node").alias("component"), F.col("component").alias("above"))
+        labels = staged(spread_join(lower, up, "component", "node").select("node", "was", F.least("component", "above").alias("component")), "labels")
         if k == rounds or not labels.filter("was <> component").limit(1).count():
             return labels.select("node", "component")
-        labels = labels.select("node", "degree", "component")
+        labels = labels.select("node", "component")

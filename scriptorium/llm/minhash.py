@@ -6,8 +6,7 @@ similarity by bit counts, corrected for chance collisions; pairs whose estimate
 is near the threshold or over it are confirmed on the full sets.  Documents with
 equal sets are one candidate.  A bucket emits no more than a star of pairs to
 its smallest member, and components are built from the confirmed ones.  Buckets
-that still hold several components draw another hub, as long as that links
-something, HUB_ROUNDS times at most; of what is then open, members outside their family's largest component are compared with
+that still hold several components draw another hub; of what is then open, members outside their family's largest component are compared with
 all of it, in blocks.
 
 At the threshold 0.8 a pair misses all 40 bands of 6 rows with probability 5e-6;
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import blank_as_empty, release, salted_join, scratch, staged, temporary, with_rows
+from .base import blank_as_empty, release, salted_join, scratch, spread_join, staged, temporary, with_rows
 from .components import components
 from .tokens import blocks
 
@@ -204,14 +203,14 @@ def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
     labels = components(links, rounds=1)
     labelled = staged(members.join(labels, members["rep"] == labels["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), "labelled")
     parts = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
-    several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("size").alias("members"), F.max_by("component", F.struct("size", "component")).alias("largest")).filter("parts > 1").select("key", "members", "largest")
-    return staged(salted_join(labelled, staged(several, "several"), "key", "members", "rep").drop("members"), "open")
+    several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("size", "component")).alias("largest")).filter("parts > 1").select("key", "largest")
+    return staged(spread_join(labelled, several, "key", "rep"), "open")
 
 
 def hub_pairs(members: DataFrame, seed: int) -> DataFrame:
     """One drawn member of each key with those of other components."""
-    drawn = members.groupBy("key").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "key", F.lit(seed))).alias("hub"), F.count("*").alias("members"))
-    met = salted_join(members, staged(drawn, "drawn"), "key", "members", "rep").filter(F.col("component") != F.col("hub.component"))
+    drawn = members.groupBy("key").agg(F.min_by(F.struct("rep", "component"), F.xxhash64("rep", "key", F.lit(seed))).alias("hub"))
+    met = spread_join(members, drawn, "key", "rep").filter(F.col("component") != F.col("hub.component"))
     return met.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
 
 
@@ -250,18 +249,14 @@ def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes:
     """What hubs left apart, exactly.  Members that buckets connect are a family; its
     members outside its largest component meet all of it, in blocks of sets that
     are dealt out one by one, so neither a task nor a row grows with the family."""
-    least = staged(opened.groupBy("key").agg(F.min("component").alias("a"), F.count("*").alias("n")), "least")  # linked members stand for one
-    met = salted_join(opened.select("key", "rep", F.col("component").alias("b")), least, "key", "n", "rep")
-    families = components(met.filter("a <> b").select("a", "b").distinct())
-    single = staged(opened.select("rep", "component").distinct(), "single")
-    sizes = single.groupBy("component").agg(F.count("*").alias("n"))
-    named = staged(families.select(F.col("node").alias("component"), F.col("component").alias("family")).join(sizes, "component"), "named")
-    members = salted_join(single, named, "component", "n", "rep").drop("n")
+    least = opened.groupBy("key").agg(F.min("component").alias("a"))  # linked members stand for one
+    families = components(spread_join(opened.select("key", "rep", F.col("component").alias("b")), least, "key", "rep").filter("a <> b").select("a", "b").distinct())
+    members = spread_join(opened.select("rep", "component").distinct(), families.select(F.col("node").alias("component"), F.col("component").alias("family")), "component", "rep")
     members = members.join(sets.select(F.col("_row").alias("rep"), "shingles"), "rep")
     members = staged(members, "family-members")
     parts = members.groupBy("family", "component").agg(F.count("*").alias("size"), F.sum(F.octet_length("shingles") + 64).alias("bytes"))
-    totals = staged(parts.groupBy("family").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.sum("size").alias("members"), F.ceil(F.sum("bytes") / block_bytes).alias("blocks")), "families")
-    placed = salted_join(members, totals, "family", "members", "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    totals = staged(parts.groupBy("family").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.ceil(F.sum("bytes") / block_bytes).alias("blocks")), "families")
+    placed = spread_join(members, totals, "family", "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     gathered = F.collect_list(F.struct("rep", "component", "shingles"))
     everyone = placed.groupBy("family", "block").agg(gathered.alias("others"))
     few = placed.filter("component <> largest").groupBy("family", "block", "blocks").agg(gathered.alias("few"))
@@ -276,7 +271,7 @@ def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes:
     return staged(met.select("few", "others").mapInArrow(compare, "a long, b long"), "rest-linked")
 
 
-HUB_ROUNDS = 3  # at most; what they leave is compared in blocks
+HUB_ROUNDS = 1  # what it leaves is compared in blocks
 
 
 def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -299,10 +294,7 @@ def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
         pairs = staged(hub_pairs(opened, seed).join(tested, ["a", "b"], "left_anti"), "hub-pairs")
         if not pairs.limit(1).count():
             break
-        new = confirmed(pairs, reps, sets, percent)
-        if not new.limit(1).count():
-            break
-        tested, links = tested.unionByName(pairs), links.unionByName(new)
+        tested, links = tested.unionByName(pairs), links.unionByName(confirmed(pairs, reps, sets, percent))
         opened = still_open(opened.select("key", "rep"), links)
         release(spark)
     if opened.limit(1).count():
