@@ -29,6 +29,11 @@ def remove_soft_hyphens(c: Column) -> Column:
     return F.translate(c, SOFT, "")
 
 
+def without_soft_hyphens(texts: Column) -> Column:
+    """The same for each of an array of texts."""
+    return F.transform(texts, remove_soft_hyphens)
+
+
 def drop_carried_word(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s*\S+\s*", "")
 

@@ -50,7 +50,10 @@ def selection_counts(documents: DataFrame, status: str) -> DataFrame:
     return documents.agg(*[F.count(F.when(F.col(status) == s, 1)).alias(s) for s in states], F.count("*").alias("found"))
 
 
-def exit_code(interrupted: bool, ok: int, failed: int, untried: int, tripped: bool) -> int:
+def exit_code(interrupted: bool, ok: int, failed: int, untried: int, tripped: bool, usage: bool = False, misconfigured: bool = False) -> int:
+    """A wrong call (2) and wrong settings (3) are known before any document is begun."""
+    if usage or misconfigured:
+        return 2 if usage else 3
     if interrupted:
         return 130
     if failed:
@@ -58,10 +61,16 @@ def exit_code(interrupted: bool, ok: int, failed: int, untried: int, tripped: bo
     return 5 if tripped else 0
 
 
-def select_incidents(incidents: DataFrame, document: str | None = None, code: str | None = None) -> DataFrame:
-    """By document, and by the beginning of the code."""
-    out = incidents if document is None else incidents.filter(F.col("document") == document)
-    return out if code is None else out.filter(F.col("code").startswith(code))
+INCIDENTS = 3  # the block of a run's report whose entries are incidents
+
+
+def select_incidents(incidents: DataFrame, document: object = None, code: str | None = None, block: int | None = None, why: str | None = None, document_column: str = "document") -> DataFrame:
+    """By document, by the beginning of the code and by cause; blocks other than that of
+    the incidents have none."""
+    out = incidents if document is None else incidents.filter(F.col(document_column) == document)
+    out = out if code is None else out.filter(F.col("code").startswith(code))
+    out = out if why is None else out.filter(F.col("why") == why)
+    return out if block in (None, INCIDENTS) else out.filter(F.lit(False))
 
 
 def phases_lost(losses: DataFrame, code: str, document: str, lost: str = "PHASE_LOST") -> DataFrame:

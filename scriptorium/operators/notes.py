@@ -31,3 +31,10 @@ def note_links(notes: DataFrame, lines: DataFrame, surface: list[str]) -> DataFr
     same = Window.partitionBy(*surface, "anchor")
     number = F.row_number().over(same.orderBy("top", "note_id"))
     return linked.withColumn("n", F.when(F.col("anchor").isNotNull() & (F.count("*").over(same) > 1), number))
+
+
+def first_text(zones: DataFrame, lines: DataFrame, key: list[str], own: str, top: str, text: str) -> DataFrame:
+    """zones with nested, the text of their topmost line, and first_text: their own text,
+    or else that."""
+    nested = lines.groupBy(*key).agg(F.min_by(text, top).alias("nested"))
+    return zones.join(nested, key, "left").withColumn("first_text", F.coalesce(own, "nested"))

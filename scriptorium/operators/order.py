@@ -52,6 +52,13 @@ def split_lines(documents: DataFrame, key: str, text: str) -> DataFrame:
     return documents.select(key, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
 
 
+def thinned(rows: DataFrame, group: Keys, odd: str, order: Keys, always: Column, most: int = 2) -> DataFrame:
+    """Of each group the first few plain rows and the first few odd ones, and what is
+    always kept, as for a small copy of a corpus."""
+    place = F.row_number().over(Window.partitionBy(*group, odd).orderBy(*order))
+    return rows.withColumn("_place", place).filter((F.col("_place") <= most) | always).drop("_place")
+
+
 def prefix_sample(rows: DataFrame, group: Keys, order: Keys, size: str, most: int) -> DataFrame:
     """Rows until the sizes of those before exceed `most`."""
     frame = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
