@@ -38,6 +38,7 @@ from .worker import kept
 NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
 LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
 LONGEST = 5
+MOST_LANGUAGES = 10_000  # a value a row is no language; their table is broadcast, so that texts stay where they are
 UNDETERMINED = "und"
 
 
@@ -54,9 +55,11 @@ def train(labelled: DataFrame, docs_per_language: int = 1500, items: int = 300_0
     """labelled: text, lang, and _draw, a number from 0 to 2**32 - 1 by which about
     docs_per_language rows of each language are drawn; the bounds hold for the fit alone."""
     labelled = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("_docs"))
+    sizes = staged(labelled.groupBy("lang").agg(F.count("*").alias("_docs")), "lang-sizes")
+    if sizes.count() > MOST_LANGUAGES:
+        raise ValueError(f"lang has more than {MOST_LANGUAGES} values")
     share = F.least(F.lit(1.0), docs_per_language / F.col("_docs"))
-    drawn = labelled.join(sizes, "lang").filter(F.col("_draw") < F.floor(F.lit(2.0**32) * share))
+    drawn = labelled.join(F.broadcast(sizes), "lang").filter(F.col("_draw") < F.floor(F.lit(2.0**32) * share))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter[str]] = defaultdict(Counter)
