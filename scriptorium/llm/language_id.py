@@ -34,14 +34,23 @@ from .base import staged
 from .tokens import blocks
 from .worker import kept
 
-#: Word characters that are neither letters nor decimal digits, such as ½ and ①.
-NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
+#: Word characters that are neither letters nor decimal digits, such as ½ and ①; as part
+#: of the pattern they would make it many times slower.
+NUMBERS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+BLANKED = dict.fromkeys(map(ord, NUMBERS), " ")
+LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 MOST_LANGUAGES = 10_000  # a value a row is no language; their table is broadcast, so that texts stay where they are
 UNDETERMINED = "und"
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text, in small letters."""
+    if not text.isascii() and not NUMBERS.isdisjoint(text):
+        text = text.translate(BLANKED)
+    return LETTERS.findall(text.lower())
+
+
 def crc_of(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
 
@@ -65,7 +74,7 @@ def train(labelled: DataFrame, docs_per_language: int = 1500, items: int = 300_0
         found: dict[str, Counter[str]] = defaultdict(Counter)
         for batch in batches:
             for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found[lang].update(LETTERS.findall(text.lower()))
+                found[lang].update(words_of(text))
         rows: list[tuple[str, int, str, int]] = []
         for lang, own in found.items():
             by_length: Counter[tuple[int, str]] = Counter()
@@ -123,6 +132,7 @@ class Scorer:
         self.index: dict[str, int] = {}
         self.rows = np.zeros((0, len(self.languages)))
         self.words = np.zeros(0, np.int64)
+        self.taken_apart: dict[str, np.ndarray] = {}  # words, of which many tokens differ only in signs around them
 
     def word(self, word: str) -> np.ndarray:
         at = self.tables[0].get(word)
@@ -136,11 +146,14 @@ class Scorer:
 
     def learn(self, tokens: list[str]) -> None:
         """The sums of the words of new tokens, and how many words each has."""
-        found = [LETTERS.findall(t.lower()) for t in tokens]
+        found = [words_of(t) for t in tokens]
         rows = np.zeros((len(tokens), len(self.languages)))
         for k, words in enumerate(found):
             for w in words:
-                rows[k] += self.word(w)
+                row = self.taken_apart.get(w)
+                if row is None:
+                    row = self.taken_apart[w] = self.word(w)
+                rows[k] += row
         self.rows = np.concatenate([self.rows, rows])
         self.words = np.concatenate([self.words, np.array([len(w) for w in found], np.int64)])
         self.index.update(zip(tokens, range(len(self.index), len(self.index) + len(tokens)), strict=True))

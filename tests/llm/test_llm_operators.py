@@ -329,7 +329,7 @@ def test_language_needs_letters_and_leaves_no_language_out(spark):
     texts = [" ".join(w for w in t.split()) for t in ("the\u2003house\tand das garten", "", "ΟΔΟΣ the", "number")]
     together = scorer.scores(texts)
     for k, t in enumerate(texts):  # a text's scores don't hang on those beside it, and are the sums of its words
-        words = language_id.LETTERS.findall(t.lower())
+        words = language_id.words_of(t)
         assert together[1][k] == len(words) and np.allclose(together[0][k], sum((scorer.word(w).astype(float) for w in words), np.zeros(2)))
 
 
