@@ -55,14 +55,14 @@ def service_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", "pos", "t.form", F.col("t.pos").alias("pos_tag"), "t.treated", "t.is_sign")
 
 
-_BLOCKS = """b AS (SELECT user_id, CASE event_type WHEN 'error' THEN 'refused' WHEN 'signup' THEN 'unsent' ELSE 'ok' END AS status, event_id % 30 AS tokens, CASE WHEN event_id % 11 = 0 THEN event_id % 9 ELSE 0 END AS off FROM events WHERE user_id % 2 = 0),
+_BLOCKS = """b AS (SELECT user_id, CASE event_type WHEN 'error' THEN 'refused' WHEN 'signup' THEN 'unsent' ELSE 'ok' END AS status, event_id % 30 AS tokens, CASE WHEN event_id % 11 = 0 THEN event_id % 9 ELSE 0 END AS off FROM events),
 f AS (SELECT user_id, coalesce(bool_or(status = 'ok' AND tokens > 0 AND off / tokens::DOUBLE > 0.2), false) AS unanchored, bool_or(status = 'refused') AS refused, bool_or(status = 'unsent') AS unsent, CAST(coalesce(sum(tokens) FILTER (status = 'ok'), 0) AS BIGINT) AS tokens FROM b GROUP BY 1),
 o AS (SELECT user_id, unanchored, refused AND NOT unanchored AS refused, unsent AND NOT unanchored AS unsent, CASE WHEN unanchored THEN 0 ELSE tokens END AS tokens FROM f),
 s AS (SELECT *, CASE WHEN tokens > 0 THEN 'enriched' WHEN unanchored OR refused OR unsent THEN 'failed' ELSE 'skipped' END AS state FROM o)"""
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").filter("user_id % 2 = 0")
+    e = table(spark, sf_dir, "events")
     status = F.when(F.col("event_type") == "error", "refused").when(F.col("event_type") == "signup", "unsent").otherwise("ok")
     blocks = e.select("user_id", status.alias("status"), (F.col("event_id") % 30).alias("tokens"), F.when(F.col("event_id") % 11 == 0, F.col("event_id") % 9).otherwise(0).alias("off"))
     return enrich.outcomes(blocks, ["user_id"], "status", "tokens", "off")
@@ -70,7 +70,7 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_BLOCKS} SELECT * FROM s")
 def enrichment_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Containers are the users of even number, as what the others say isn't tagged."""
+    """Containers are the users, blocks their events."""
     return _outcomes(spark, sf_dir)
 
 
