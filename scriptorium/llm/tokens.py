@@ -37,6 +37,14 @@ def odd(text: str) -> bool:
     return any(c in text for c in ODD) or not text.isascii() and any(c in text for c in ODD_BEYOND_ASCII)
 
 
+def strings(words: pa.Array) -> list[str]:
+    """Words without line feeds as Python strings, which taking a long string apart makes fastest."""
+    if not len(words):
+        return []
+    offsets = pa.array([0, len(words)], pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, words), "\n")[0].as_py().split("\n")
+
+
 class Merges:
     """Byte-pair merges of many words at once, on flat arrays: each round merges in
     every word its leftmost pair of lowest rank, and words without one are done."""
@@ -160,6 +168,37 @@ class WordTokenizer:
             found[w] = np.array(e.ids, np.uint16).tobytes()
         return list(found.values())
 
+    def _added(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Numbers words; ids: those of all of them in a row."""
+        first = len(self.index)
+        self.index.update(zip(words, range(first, first + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _learn_letters(self, words: pa.Array, cores: pa.Array) -> None:
+        """Words of ASCII letters, the cores, with marks after them or none: all in arrays."""
+        coded = cores.dictionary_encode()
+        flat, sizes = self.merges.encode(strings(coded.dictionary))
+        core = coded.indices.to_numpy()
+        after = pc.subtract(pc.binary_length(words), pc.binary_length(cores)).to_numpy()
+        mark, marks = np.zeros(len(words), np.int64), [""]
+        for n in np.unique(after[after > 0]).tolist():
+            at = np.flatnonzero(after == n)
+            ends = pc.utf8_slice_codeunits(words.take(pa.array(at)), -n).dictionary_encode()
+            mark[at] = len(marks) + ends.indices.to_numpy()
+            marks += ends.dictionary.to_pylist()
+        new = [m for m in marks if m not in self.cores]
+        if new:
+            self.cores.update(zip(new, self._encode(new), strict=True))
+        ids = [np.frombuffer(self.cores[m], np.uint16) for m in marks]
+        flat = np.concatenate([flat.astype(np.uint16), *ids])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, ids), np.int64, len(ids))])
+        starts = np.cumsum(sizes) - sizes
+        pieces = np.stack([core, len(coded.dictionary) + mark], axis=1).ravel()  # a core and its marks, word by word
+        n = sizes[pieces]
+        ends = np.cumsum(n)
+        self._added(strings(words), flat[np.arange(ends[-1]) + np.repeat(starts[pieces] - (ends - n), n)], n.reshape(-1, 2).sum(axis=1))
+
     def _learn(self, words: list[str]) -> None:
         parts: list[tuple[str, str]] = []
         for w in words:
@@ -171,27 +210,31 @@ class WordTokenizer:
         cores.update(zip(new, self._encode(new), strict=True))
         cores[""] = b""
         ids = [cores[a] + cores[b] for a, b in parts]
-        first = len(self.index)
-        self.index.update(zip(words, range(first, first + len(words)), strict=True))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 2)])
-        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), np.uint16)])
+        self._added(words, np.frombuffer(b"".join(ids), np.uint16), np.fromiter(map(len, ids), np.int64, len(ids)) // 2)
 
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the texts' words, and how many each text has.  Arrow splits and
         numbers the words, so that only different ones come to Python."""
         split = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.string())))
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = strings(coded.dictionary)
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         unseen = np.flatnonzero(at < 0)
         if len(unseen):
             if self.index and len(self.index) + len(unseen) > self.max_words:
                 self.forget()
                 unseen = np.arange(len(words))
-            at[unseen] = np.arange(len(self.index), len(self.index) + len(unseen))
-            new = list(map(words.__getitem__, unseen.tolist()))
-            for k in range(0, len(new), 50_000):
-                self._learn(new[k : k + 50_000])
+            new = coded.dictionary.take(pa.array(unseen))
+            cores = pc.ascii_rtrim(new, MARKS)
+            letters = pc.and_(pc.ascii_is_alpha(cores), pc.less_equal(pc.binary_length(cores), self.LONGEST)).to_numpy(zero_copy_only=False)
+            quick, slow = np.flatnonzero(letters), np.flatnonzero(~letters)
+            at[unseen[np.concatenate([quick, slow])]] = np.arange(len(self.index), len(self.index) + len(unseen))
+            for k in range(0, len(quick), 200_000):
+                some = pa.array(quick[k : k + 200_000])
+                self._learn_letters(new.take(some), cores.take(some))
+            others = strings(new.take(pa.array(slow)))
+            for k in range(0, len(others), 50_000):
+                self._learn(others[k : k + 50_000])
         return at[coded.indices.to_numpy()] if len(words) else at, np.diff(split.offsets.to_numpy()).astype(np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
