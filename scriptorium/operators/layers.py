@@ -91,11 +91,11 @@ def resolved(mentions: DataFrame, catalogue: DataFrame, floor: float = 0.55, thr
     return linked.unionByName(others)
 
 
-def pipeline(left: DataFrame, right: DataFrame, words: DataFrame, key: list[str], title: str = "") -> DataFrame:
+def pipeline(left: DataFrame, right: DataFrame, words: DataFrame, key: list[str]) -> DataFrame:
     """The mentions that two models' spans make: merged by words, filtered by tags, then
     without overlaps.  Tags come first, as they may drop the surer reading.
     left, right: as for `spans.merged_models`; words: key, pos (text of the position), start,
-    stop, tag, lemma."""
+    stop, tag, lemma.  A mention none of whose words is there is none."""
     merged = spans.merged_models(left, right, key).withColumnRenamed("ord", "mention")
     each = merged.select(*key, "mention", F.explode("words").alias("pos")).join(words, [*key, "pos"])
     tags = each.groupBy(*key, "mention").agg(

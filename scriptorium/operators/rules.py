@@ -61,10 +61,17 @@ def broken(elements: DataFrame, rules: dict[str, Rule] = RULES) -> DataFrame:
     return reduce(DataFrame.unionByName, [rule(elements).select(F.lit(name).alias("rule"), "doc", "ord") for name, rule in rules.items()])
 
 
-def report_rows(text: str) -> list[tuple[str, str, str]]:
-    """message, location and severity of a validator's report, in order."""
+def report_rows(text: str | None) -> list[tuple[str, str, str]]:
+    """message, location and severity of a validator's report, in order; one that can't be
+    read is a finding itself, none at all has no findings."""
+    if text is None:
+        return []
+    try:
+        tree = ElementTree.fromstring(text.encode())
+    except ElementTree.ParseError as error:
+        return [(f"the report can't be read: {error}", "", "fatal")]
     out = []
-    for e in ElementTree.fromstring(text.encode()).iter():
+    for e in tree.iter():
         if e.tag.rpartition("}")[2] in ("failed-assert", "successful-report"):
             out.append((" ".join("".join(e.itertext()).split()), e.get("location", ""), e.get("role") or "fatal"))
     return out
