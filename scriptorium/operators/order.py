@@ -10,10 +10,10 @@ from ..functions.labels import page_number
 Keys = list[str]
 
 
-def page_order(pages: DataFrame, volume: Keys, stem: str, path: str) -> DataFrame:
-    """num and page_ord: by the first number of the stem, then by path."""
+def page_order(pages: DataFrame, volume: Keys, stem: str, path: str, *ties: str) -> DataFrame:
+    """num and page_ord: by the first number of the stem, then by path, then by `ties` where paths repeat."""
     numbered = pages.withColumn("num", page_number(F.col(stem)))
-    return numbered.withColumn("page_ord", F.row_number().over(Window.partitionBy(*volume).orderBy("num", path)))
+    return numbered.withColumn("page_ord", F.row_number().over(Window.partitionBy(*volume).orderBy("num", path, *ties)))
 
 
 def page_collisions(pages: DataFrame, volume: Keys, stem: str) -> DataFrame:

@@ -28,7 +28,7 @@ def label_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH p AS (SELECT page_id, url, {_HOST} AS host, coalesce(try_cast(nullif(regexp_extract({_PATH}, '(\\d+)', 1), '') AS INTEGER), 999999) AS num FROM pages)
 SELECT page_id, host, num, CAST(row_number() OVER (PARTITION BY host ORDER BY num, url) AS INTEGER) AS page_ord FROM p""")
 def page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order.page_order(_pages(spark, sf_dir), ["host"], "stem", "url").select("page_id", "host", "num", "page_ord")
+    return order.page_order(_pages(spark, sf_dir), ["host"], "stem", "url", "page_id").select("page_id", "host", "num", "page_ord")
 
 
 @query(f"SELECT {_HOST} AS host, coalesce(try_cast(nullif(regexp_extract({_PATH}, '(\\d+)', 1), '') AS INTEGER), 999999) AS num, count(*) AS pages FROM pages GROUP BY 1, 2 HAVING count(*) > 1")

@@ -56,3 +56,11 @@ def test_dehyphenate_reads_documents(spark, tmp_path):
         joined, carried = kernels.rejoined(lines, ["Main"] * len(lines))
         expected += [(k, i, j, i in carried) for i, j in enumerate(joined)]
     assert sorted(map(tuple, found)) == sorted(expected) and any(r["carried"] for r in found)
+
+
+def test_page_order_of_repeated_urls(spark, tmp_path):
+    urls = ["http://a/f2", "http://a/f1", "http://a/f2", "http://a/f1", "http://b/x", "http://a/f2"]
+    pages = [(9 - k, u, "") for k, u in enumerate(urls)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    found = plans.QUERIES["page_order"](spark, str(tmp_path)).select("page_id", "page_ord").collect()
+    assert sorted(map(tuple, found)) == [(4, 3), (5, 1), (6, 1), (7, 4), (8, 2), (9, 5)]
