@@ -200,6 +200,8 @@ def reading_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), before.alias("reading")).filter(F.col("reading").isNotNull())
     cut = pairs.select("doc_id", F.split("text", "\n").alias("a"), F.split("reading", "\n").alias("b"))
     lines = cut.select("doc_id", F.posexplode(F.arrays_zip("a", "b")).alias("line_no", "l")).select("doc_id", "line_no", *(F.coalesce(f"l.{c}", F.lit("")).alias(c) for c in "ab"))
+    both = (F.col("a") != "") & (F.col("b") != "")  # beside an empty line the other isn't needed
+    lines = lines.select("doc_id", "line_no", *(F.when(both, F.col(c)).otherwise("").alias(c) for c in "ab"))
     scored = lines.repartition("doc_id", "line_no").select("doc_id", "line_no", F.round(kernels.ratio("a", "b"), 6).alias("similarity"))
     return scored.withColumn("cert", text.band(F.col("similarity"), [(0.95, "high"), (0.8, "medium"), (0.0, "low")]))
 
