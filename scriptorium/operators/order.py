@@ -26,6 +26,19 @@ def occurrence(rows: DataFrame, keys: Keys, order: Keys, name: str = "occurrence
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
 
 
+def with_previous(rows: DataFrame, group: str, key: str, value: str, name: str, stretch: int = 1000) -> DataFrame:
+    """Rows with the value (never null) of the row before in their group, by a whole-numbered
+    key; the first of a group has none and is left out.  Rows are dealt by stretches of keys,
+    and only the ends of stretches by group, so a large group doesn't fill one task."""
+    near = Window.partitionBy(group, "_stretch").orderBy(key, value)
+    dealt = rows.withColumn("_stretch", F.expr(f"`{key}` div {stretch}"))
+    placed = dealt.withColumns({name: F.lag(value).over(near), "_after": F.lead(value).over(near)})
+    ends = placed.filter(F.col(name).isNull() | F.col("_after").isNull())
+    met = ends.withColumn("_met", F.lag(value).over(Window.partitionBy(group).orderBy(key, value)))
+    heads = met.filter(F.col(name).isNull() & F.col("_met").isNotNull()).withColumn(name, F.col("_met")).drop("_met")
+    return placed.filter(F.col(name).isNotNull()).unionByName(heads).drop("_stretch", "_after")
+
+
 def next_same_kind(rows: DataFrame, group: Keys, kind: str, order: Keys, value: str, name: str = "next_same") -> DataFrame:
     return rows.withColumn(name, F.lead(value).over(Window.partitionBy(*group, kind).orderBy(*order)))
 

@@ -196,8 +196,8 @@ def sendable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def reading_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity of each line to the one at its place in the document before of the source, with its band."""
-    before = F.lag(F.coalesce("text", F.lit(""))).over(Window.partitionBy("source").orderBy("doc_id"))
-    pairs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), before.alias("reading")).filter(F.col("reading").isNotNull())
+    texts = table(spark, sf_dir, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = order.with_previous(texts, "source", "doc_id", "text", "reading")
     cut = pairs.select("doc_id", F.split("text", "\n").alias("a"), F.split("reading", "\n").alias("b"))
     lines = cut.select("doc_id", F.posexplode(F.arrays_zip("a", "b")).alias("line_no", "l")).select("doc_id", "line_no", *(F.coalesce(f"l.{c}", F.lit("")).alias(c) for c in "ab"))
     both = (F.col("a") != "") & (F.col("b") != "")  # beside an empty line the other isn't needed

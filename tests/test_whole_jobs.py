@@ -8,7 +8,7 @@ from itertools import zip_longest
 import pytest
 
 from scriptorium.functions import kernels
-from scriptorium.operators import entities
+from scriptorium.operators import entities, order
 from scriptorium.plans import all as plans
 
 
@@ -64,3 +64,17 @@ def test_page_order_of_repeated_urls(spark, tmp_path):
     spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
     found = plans.QUERIES["page_order"](spark, str(tmp_path)).select("page_id", "page_ord").collect()
     assert sorted(map(tuple, found)) == [(4, 3), (5, 1), (6, 1), (7, 4), (8, 2), (9, 5)]
+
+
+def test_previous_rows_over_stretches(spark):
+    rng = random.Random(4)
+    keys = [None, *rng.sample(range(-40, 90), 60), *range(200, 203)]
+    rows = [("abc"[k % 3] if k is not None and k % 11 else None, k, f"t{k}") for k in keys]
+    groups = defaultdict(list)
+    for g, k, t in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0)):
+        groups[g].append((g, k, t))
+    expected = [(*row, before[2]) for own in groups.values() for before, row in zip(own, own[1:], strict=False)]
+    table = spark.createDataFrame(rng.sample(rows, len(rows)), "g string, k long, t string")
+    for stretch in (1, 7, 1000):
+        found = order.with_previous(table, "g", "k", "t", "before", stretch).collect()
+        assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
