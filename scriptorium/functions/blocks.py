@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Lengths of grams; the first two are for areas of more than WIDE cells only.
-GRAMS = (64, 16, 8, 4, 2, 1)
+GRAMS = (64, 16, 4, 2, 1)
 WIDE = 1 << 26
 #: Places that are held at once; an area with more of them is split letter by letter.
 MOST_PLACES = 1 << 20
@@ -45,6 +45,15 @@ def edges(sorted_keys: np.ndarray, step: int = 0) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], np.diff(sorted_keys) != step)))
 
 
+def both_sides(keys: np.ndarray, n: int) -> np.ndarray:
+    """Places of the keys that are among the first n and the others, and of a few more, by a hash."""
+    bits = len(keys).bit_length() + 3
+    at = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)
+    seen = np.zeros((2, 1 << bits), dtype=bool)
+    seen[0, at[:n]] = seen[1, at[n:]] = True
+    return np.flatnonzero((seen[0] & seen[1])[at])
+
+
 class Pairs:
     """A batch of pairs in two arrays of letters, a free place after each text."""
 
@@ -69,12 +78,12 @@ class Pairs:
         """A number for the gram that begins at each place, and their bound."""
         if q not in self.known:
             half, most = self.grams(q // 2)
+            if most >= 1 << 24:  # numbered anew, so that numbers stay small
+                known, half = np.unique(half, return_inverse=True)
+                half, most = half.astype(np.int64), len(known)
             codes = half * most
             codes[: -(q // 2)] += half[q // 2 :]
             most *= most
-            if most >= 1 << 31:  # numbered anew, so that numbers stay small
-                known, codes = np.unique(codes, return_inverse=True)
-                codes, most = codes.astype(np.int64), len(known)
             self.known[q] = codes, most
         return self.known[q]
 
@@ -86,7 +95,7 @@ class Pairs:
         while todo:
             a, a_stop, b, b_stop = todo.pop()
             wide = (a_stop - a >= q) & (b_stop - b >= q)
-            if q > 8:
+            if q > 4:
                 wide &= (a_stop - a) * (b_stop - b) > WIDE
             if not wide.any():
                 continue
@@ -109,10 +118,19 @@ class Pairs:
         places = np.concatenate((ranges(a, counts_a), ranges(b, counts_b) + self.split))
         area = np.concatenate((np.repeat(np.arange(len(a)), counts_a), np.repeat(np.arange(len(a)), counts_b)))
         codes, most = self.grams(q)
-        keys, at = order(area * most + codes[places], len(a) * most)
+        if len(a) * most >= 1 << 62:
+            known, codes = np.unique(codes, return_inverse=True)
+            codes, most = codes.astype(np.int64), len(known)
+        keys, n_a = area * most + codes[places], int(counts_a.sum())
+        if q > 2:  # most grams are in one text only
+            kept = both_sides(keys, n_a)
+            keys, places, area, n_a = keys[kept], places[kept], area[kept], int(np.searchsorted(kept, n_a))
+            if not len(keys):
+                return
+        keys, at = order(keys, len(a) * most)
         first = edges(keys)
         counts = np.diff(np.append(first, len(keys)))
-        in_a = np.add.reduceat((at < counts_a.sum()).astype(np.int64), first)
+        in_a = np.add.reduceat((at < n_a).astype(np.int64), first)
         in_b = counts - in_a
         shared = (in_a > 0) & (in_b > 0)
         first, in_a, in_b = first[shared], in_a[shared], in_b[shared]
