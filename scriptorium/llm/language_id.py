@@ -32,7 +32,7 @@ from pyspark.sql.types import DoubleType, StringType, StructType
 
 from .base import staged
 from .tokens import blocks
-from .worker import kept
+from .worker import kept, lean
 
 #: Word characters that are neither letters nor decimal digits, such as ½ and ①; as part
 #: of the pattern they would make it many times slower.
@@ -88,7 +88,7 @@ def train(labelled: DataFrame, docs_per_language: int = 1500, items: int = 300_0
             part = rows[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int64()))], ["lang", "size", "item", "n"])
 
-    counted = staged(drawn.select("text", "lang").mapInArrow(count, "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n")), "lang-counts")
+    counted = staged(drawn.select("text", "lang").mapInArrow(lean(count), "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n")), "lang-counts")
     totals = counted.groupBy("lang", "size").agg(F.sum("n").alias("total")).collect()  # six rows a language
     names = sorted({r["lang"] for r in totals})
     sums = {(r["lang"], r["size"]): r["total"] for r in totals}
@@ -188,7 +188,7 @@ class Scorer:
 
 def scorer_of(key: str, model: Broadcast) -> Scorer:
     """One for each Python worker, which keeps it from task to task."""
-    return kept(f"scorer {key}", lambda: Scorer(model.value))
+    return kept(key, lambda: Scorer(model.value))
 
 
 def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -196,7 +196,7 @@ def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[
     shared = docs.sparkSession.sparkContext.broadcast(model)  # `items` of `train` at most
     wanted = docs.select(*columns, F.col("text").alias("_text")) if columns else docs
     at, width = (len(columns), len(columns)) if columns else (docs.columns.index("text"), len(docs.columns))
-    key = uuid.uuid4().hex
+    key = f"scorer {uuid.uuid4().hex}"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(key, shared)
@@ -211,7 +211,7 @@ def identify(docs: DataFrame, model: dict, *columns: Column | str, names: tuple[
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:width], *names])
 
     schema = StructType(wanted.schema.fields[:width]).add(names[0], StringType()).add(names[1], DoubleType())
-    return wanted.mapInArrow(predict, schema)
+    return wanted.mapInArrow(lean(predict, key), schema)
 
 
 def trained_on(docs: DataFrame, held_out: int = 2) -> dict:

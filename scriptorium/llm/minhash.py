@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from .base import blank_as_empty, release, salted_join, scratch, spread_join, staged, temporary, with_rows
 from .components import components
 from .tokens import blocks
+from .worker import lean
 
 BANDS, ROWS, BITS = 40, 6, 4
 MINIMA = BANDS * ROWS
@@ -140,7 +141,7 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
                 ["_row", "doc_id", "n", "set_key", "bands", "bits"],
             )
 
-    return docs.mapInArrow(sign, "_row long, doc_id long, n long, set_key binary, bands array<long>, bits array<long>")
+    return docs.mapInArrow(lean(sign), "_row long, doc_id long, n long, set_key binary, bands array<long>, bits array<long>")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -169,7 +170,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
                 own = [x.tobytes() for x in shingle_sets(texts[s], size)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(own)), pa.array(own, pa.binary())], ["_row", "shingles"])
 
-    return docs.join(rows, "_row", "left_semi").select("_row", "text").mapInArrow(read, "_row long, shingles binary")
+    return docs.join(rows, "_row", "left_semi").select("_row", "text").mapInArrow(lean(read), "_row long, shingles binary")
 
 
 def confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -193,7 +194,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, sets: DataFrame, percent: int)
 
     left, right = (sets.select(F.col("_row").alias(s), F.col("shingles").alias(f"shingles_{s}")) for s in "ab")
     with_sets = likely.join(left, "a").join(right, "b").select("a", "b", "shingles_a", "shingles_b")
-    return staged(with_sets.mapInArrow(compare, "a long, b long"), "linked")
+    return staged(with_sets.mapInArrow(lean(compare), "a long, b long"), "linked")
 
 
 def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -268,7 +269,7 @@ def rest_of_links(opened: DataFrame, sets: DataFrame, percent: int, block_bytes:
                 links = block_links(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), percent)
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
-    return staged(met.select("few", "others").mapInArrow(compare, "a long, b long"), "rest-linked")
+    return staged(met.select("few", "others").mapInArrow(lean(compare), "a long, b long"), "rest-linked")
 
 
 HUB_ROUNDS = 1  # what it leaves is compared in blocks

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from .tokens import blocks
+from .worker import lean
 
 REST = "\x00rest"
 TOPICS = 8
@@ -65,7 +66,7 @@ def measured(docs: DataFrame, text: str = "text", tokens: str = "_tokens", topic
                 topics.append(np.bincount(owner[long] * TOPICS + bucket[long], minlength=len(split) * TOPICS).reshape(-1, TOPICS).argmax(axis=1).astype(np.int32))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(counts), pa.int64()), pa.array(np.concatenate(topics), pa.int32())], [*names, tokens, topic])
 
-    return docs.mapInArrow(measure, StructType(list(docs.schema.fields)).add(tokens, LongType()).add(topic, IntegerType()))
+    return docs.mapInArrow(lean(measure), StructType(list(docs.schema.fields)).add(tokens, LongType()).add(topic, IntegerType()))
 
 
 def known(column: Column, targets: dict) -> Column:
@@ -137,7 +138,7 @@ def mixed(docs: DataFrame, targets: tuple[dict, dict, dict], keep: float, source
     cells = sorted(tuple(r) for r in docs.select(*keys, tokens).groupBy(*names).agg(F.sum(tokens)).collect())  # size rows at most
     sums = np.array([c[-1] for c in cells], float)
     chances = probabilities(sums, rake(cells, targets), keep)
-    rows = [(*c[:-1], float(p)) for c, p in zip(cells, chances, strict=True)]
-    table = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names) + ", _probability double")
+    columns = [pa.array([c[k] for c in cells], pa.string()) for k in range(3)]
+    table = spark.createDataFrame(pa.table([*columns, pa.array(chances, pa.float64())], [*names, "_probability"]))  # rows would take Python workers of their own, which stay
     out = docs.select("*", *keys).join(F.broadcast(table), names, "left")
     return out.withColumn("_sampled", draw(F.col("doc_id"), seed) < F.col("_probability")).drop(*names)

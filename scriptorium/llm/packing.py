@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import staged
-from .tokens import blocks, tokenizer, tokenizer_path
+from .tokens import blocks, tokenizer, tokenizer_key, tokenizer_path
+from .worker import lean, trimmed
 
 FIRST = 32  # neighbours that are sorted at once; the others when these don't fill the window
 FREQUENT = 8  # terms of more than one document in so many have their weights in a row by document
@@ -67,7 +68,7 @@ def encoded(docs: DataFrame, path: str, vocabulary: int, closing: int) -> DataFr
         yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(terms, pa.int32()), pa.array(frequency[terms])], ["_row", "doc_id", "n", "ids", "term", "docs"])
 
     kept = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long"), "text")
-    return staged(kept.mapInArrow(encode, "_row long, doc_id long, n long, ids binary, term int, docs long"), "encoded")
+    return staged(kept.mapInArrow(lean(encode, tokenizer_key(path)), "_row long, doc_id long, n long, ids binary, term int, docs long"), "encoded")
 
 
 class Packer:
@@ -174,6 +175,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = 2048, closing:
     shards = max(1, -(-int(total) // shard_tokens))
 
     def packed(shard: pa.Table) -> pa.Table:
+        trimmed()  # what the shard before it left
         shard = shard.sort_by("_row")
         idf, average = shared.value
         ids = [np.frombuffer(b, "<u2") for b in shard["ids"].to_pylist()]

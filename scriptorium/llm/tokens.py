@@ -263,9 +263,13 @@ class WordTokenizer:
         return found
 
 
+def tokenizer_key(path: str) -> str:
+    return f"tokenizer {path}"
+
+
 def tokenizer(path: str) -> WordTokenizer:
     """One for each Python worker, which keeps it from task to task."""
-    return kept(f"tokenizer {path}", lambda: WordTokenizer(path))
+    return kept(tokenizer_key(path), lambda: WordTokenizer(path))
 
 
 def blocks(sizes: list[int], most: int) -> Iterator[slice]:

@@ -1,8 +1,15 @@
-"""Mixing and packing that must use all of their input, on small tables."""
+"""Mixing and packing that must use all of their input, on small tables; and what
+workers keep meanwhile."""
+
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
-from scriptorium.llm import mixing, packing, queries
+from scriptorium.llm import language_id, minhash, mixing, packing, queries, worker
 
 
 def test_mixing_keeps_what_has_no_target(spark):
@@ -33,3 +40,59 @@ def test_packer_takes_all_neighbours_before_unrelated_rows():
     ranked = list(packer.neighbours(7))
     assert set(ranked) == {k for k, s in enumerate(score) if s > 0 and k != 7}
     assert all(score[a] >= score[b] - 1e-4 for a, b in zip(ranked, ranked[1:]))
+
+
+def test_steps_let_go_of_what_another_one_kept(spark):
+    """Each Python worker of the pipeline's later stages had the scorer of the first beside its own objects."""
+    docs = spark.createDataFrame([(k, k, f"eins zwei drei {k}", "de") for k in range(8)], "_row long, doc_id long, text string, lang string")
+    model = language_id.train(docs.selectExpr("text", "lang", "0L as _draw"))
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([",".join(worker._held)])], ["held"])
+
+    for step, wanted in ((lambda: language_id.identify(docs, model), "scorer"), (lambda: minhash.signed(docs, 4), ""), (lambda: mixing.measured(docs), ""), (lambda: packing.pack(docs), "tokenizer")):
+        step().collect()
+        kept = {r["held"].split(" ")[0] for r in docs.coalesce(1).select("_row").mapInArrow(held, "held string").collect()}
+        assert kept <= {wanted, ""}
+
+
+def test_cells_take_no_worker_of_their_own(spark, monkeypatch):
+    """The table of chances went through plain Python workers, which stayed beside the Arrow ones."""
+    docs = spark.createDataFrame([(1, "src0", "en", "lorem ipsum", 0, 2)], "doc_id long, source string, lang string, text string, _topic int, _tokens long").localCheckpoint()
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *_, **__: pytest.fail("rows in Python workers"))
+    targets = (queries.SOURCES, queries.LANGUAGES, queries.TOPIC_SHARES)
+    assert [r["doc_id"] for r in mixing.mixed(docs, targets, queries.KEEP).collect()] == [1]
+    assert mixing.mixed(docs.limit(0), targets, queries.KEEP).collect() == []
+
+
+FREED = r"""
+import re
+import pyarrow as pa
+import pyarrow.compute as pc
+from scriptorium.llm.worker import lean
+
+def resident():
+    return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read()))) >> 10
+
+def step(batches):
+    for batch in batches:
+        pieces = [bytes(700) for _ in range(200_000)]  # 140 MB that the C library keeps below the last one
+        end = bytes(700)
+        words = pc.utf8_split_whitespace(batch.column(0))
+        del pieces, words
+        yield batch
+        del end
+
+batch = pa.record_batch([pa.array(["a b c d " * 100] * 20_000)], ["text"])
+before = resident()
+for _ in lean(step)(iter([batch])):
+    pass
+print(resident() - before)
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists() or "glibc" not in "".join(__import__("platform").libc_ver()), reason="memory can't be read")
+def test_a_step_hands_freed_memory_back():
+    found = subprocess.run([sys.executable, "-c", FREED], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert int(found.stdout) < 40
